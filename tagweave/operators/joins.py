@@ -69,20 +69,30 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: list[str], how: str, sma
     return left.join(right, condition, how).select(*keep)
 
 
+def _average_width(ranges: DataFrame) -> float:
+    """Mean length of ranges already known to be few, without an aggregate job."""
+    lengths = [row["hi"] - row["lo"] + 1 for row in ranges.select("lo", "hi").collect()]
+    return sum(lengths) / len(lengths) if lengths else 1
+
+
 def range_join(fact: DataFrame, value: str, ranges: DataFrame, how: str = "inner",
-               bound: Bound = DEFAULT_BOUND) -> DataFrame:
+               bound: Bound = DEFAULT_BOUND, small: bool | None = None) -> DataFrame:
     """Rows of `ranges` (lo, hi, payload..) whose closed range holds `fact[value]`.
 
     The axis is cut into buckets as wide as the average range, so the ranges fill
     at most three buckets each on average, however their lengths are spread. Value
     and range then meet through an equi-join on the bucket instead of a nested
     loop. Ranges with a null or reversed bound match nothing; a null value matches
-    nothing.
+    nothing. `small=True` is given where the caller has checked the size already.
     """
     ranges = ranges.where("lo <= hi")
-    size = ranges.agg(*size_columns(ranges), F.avg(F.expr("hi - lo + 1D")).alias("width")).first()
-    width = max(1, round(size["width"] or 1))
-    small = bound.holds(3 * size["_rows"], 3 * size["_bytes"])
+    if small:
+        average = _average_width(ranges)
+    else:
+        size = ranges.agg(*size_columns(ranges), F.avg(F.expr("hi - lo + 1D")).alias("width")).first()
+        average = size["width"] or 1
+        small = bound.holds(3 * size["_rows"], 3 * size["_bytes"])
+    width = max(1, round(average))
 
     def bucket(name):
         return F.expr(f"`{name}` div {width}L")

@@ -24,11 +24,11 @@ def attach_equal(df: DataFrame, attribute: Column, rules: DataFrame, tag: str, h
 
 
 def attach_range(df: DataFrame, value: Column, ranges: DataFrame, tag: str, how: str = "left",
-                 bound: Bound = DEFAULT_BOUND) -> DataFrame:
+                 bound: Bound = DEFAULT_BOUND, small: bool | None = None) -> DataFrame:
     """Add column `tag` by closed numeric ranges (id, lo, hi); overlaps give several rows."""
     lookup = ranges.select("lo", "hi", F.col("id").cast("string").alias(tag))
     valued = df.withColumn("_value", value.cast("bigint"))
-    return range_join(valued, "_value", lookup, how, bound).drop("_value")
+    return range_join(valued, "_value", lookup, how, bound, small).drop("_value")
 
 
 def tag_equal(df: DataFrame, key: str, attribute: str, rules: DataFrame, how: str = "left",

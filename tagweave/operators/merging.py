@@ -64,3 +64,18 @@ def merge_tags(new: DataFrame, stored: DataFrame, category: DataFrame, drop_stal
     both = tag_sets.union(F.col("tagsId"), F.coalesce(kept_text, F.lit("")))
     merged = F.when(F.col("tagsId").isNull(), unmatched).when(F.col("_old").isNull(), F.col("tagsId")).otherwise(both)
     return pair.select("userId", merged.alias("tagsId"))
+
+
+def merge_into_store(new: DataFrame, stored: DataFrame, category: list[str], drop_stale: bool = False) -> DataFrame:
+    """The store after the merge: users without new rows keep theirs, new users come in.
+
+    Merge and upsert in one full outer join, so each side is evaluated once. A new
+    user without a tag is left out; a stored user never disappears.
+    """
+    old = stored.select(F.col("userId").alias("_user"), F.col("tagsId").alias("_old"))
+    fresh = new.select("userId", "tagsId")
+    joined = old.join(fresh, F.col("_user") == F.col("userId"), "full_outer")
+    merged = merged_column(F.col("tagsId"), F.col("_old"), F.lit(",".join(category)), drop_stale)
+    tags = F.when(F.col("userId").isNull(), F.col("_old")).otherwise(merged)
+    kept = F.col("_user").isNotNull() | F.col("tagsId").isNotNull()
+    return joined.where(kept).select(F.coalesce("_user", "userId").alias("userId"), tags.alias("tagsId"))

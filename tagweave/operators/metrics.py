@@ -10,13 +10,14 @@ from tagweave.operators.joins import DEFAULT_BOUND, Bound
 
 
 def access_per_ip(lines: DataFrame) -> DataFrame:
-    """Views per address, with agent, code and time of its earliest line.
+    """Views per address, with time, code and agent of its earliest line.
 
-    "Earliest" orders by time, then by the line itself, and a line without a
-    readable time comes last, so the result does not depend on arrival order.
+    Lines of one second order by code and agent, and a line without a readable time
+    comes last, so the result does not depend on arrival order. The smallest struct
+    is order and payload at once: the line's own text is not carried along.
     """
-    order = F.struct(F.col("access_time").isNull().alias("unknown"), "access_time", "value")
-    first = F.min_by(F.struct("code", "useragent", "access_time"), order)
+    unknown = F.col("access_time").isNull().alias("unknown")
+    first = F.min(F.struct(unknown, "access_time", "code", "useragent"))
     return lines.groupBy("ip").agg(F.count("ip").alias("pv"), F.lit(1).alias("uv"), first.alias("first"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tagweave.functions import text
 from tagweave.operators.joins import DEFAULT_BOUND, Bound, fits
-from tagweave.sources.spec import SourceSpec, decode
+from tagweave.sources.spec import SourceSpec
 
 RULE_SCHEMA = "id int, pid int, level int, rule string"
 
@@ -47,7 +47,11 @@ def category_ids(rules: DataFrame) -> DataFrame:
 
 
 class RuleTree:
-    """A rule table with its size checked once."""
+    """A rule table with its size checked once.
+
+    A tree within the bound is read once and kept on the driver, so that setting up
+    a job starts no further Spark job for it.
+    """
 
     def __init__(self, rules: DataFrame, bound: Bound = DEFAULT_BOUND):
         self.rules = rules
@@ -57,17 +61,24 @@ class RuleTree:
     def small(self) -> bool:
         return fits(self.rules, self.bound)
 
+    @cached_property
+    def _rows(self) -> list:
+        return self.rules.select("id", "pid", "rule").collect() if self.small else []
+
     def children(self, parent: int) -> DataFrame:
         return children(self.rules, parent)
 
     def source_spec(self, tag_id: int) -> SourceSpec:
-        row = self.rules.where(F.col("id") == tag_id).select(decode(F.col("rule")).alias("spec")).first()
-        if row is None or row["spec"] is None:
+        if self.small:
+            found = [r["rule"] for r in self._rows if r["id"] == tag_id]
+        else:
+            found = [r["rule"] for r in self.rules.where(F.col("id") == tag_id).select("rule").take(1)]
+        if not found or found[0] is None:
             raise LookupError(f"no source rule with id {tag_id}")
-        return SourceSpec.from_map(row["spec"])
+        return SourceSpec.from_text(found[0])
 
     def tag_ids(self, parent: int) -> list[str]:
         """Tag ids of one category on the driver; only for a tree within the bound."""
         if not self.small:
             raise ValueError("the rule tree exceeds its bound")
-        return sorted(str(r["id"]) for r in self.children(parent).select("id").collect())
+        return sorted(str(r["id"]) for r in self._rows if r["pid"] == parent)

@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from tagweave.functions import tag_sets, text
 from tagweave.operators import rules as rule_ops
+from tagweave.operators.joins import lookup_join
 from tagweave.operators.matching import attach_equal, attach_range
-from tagweave.operators.merging import collapse, merge_tags
+from tagweave.operators.merging import collapse, merge_into_store, merge_tags
 from tagweave.operators.rules import RuleTree
 from tagweave.operators.statistics import nth_most_frequent, recency_and_favourite, recency_days
-from tagweave.operators.upsert import upsert
 from tagweave.sources.spec import SourceSpec
 from tagweave.sources.store import VersionedTable
 
@@ -89,8 +89,8 @@ def _attach(df: DataFrame, job: TagJob, tree: RuleTree, how: str) -> DataFrame:
         return attach_equal(df, attribute, rules, job.column, how, tree.bound, small=tree.small)
     if job.match == DATES:
         day = text.day_number(text.compact_date(text.strip_dashes(attribute.cast("string"))))
-        return attach_range(df, day, rule_ops.date_ranges(rules), job.column, how, tree.bound)
-    return attach_range(df, attribute, rule_ops.number_ranges(rules), job.column, how, tree.bound)
+        return attach_range(df, day, rule_ops.date_ranges(rules), job.column, how, tree.bound, tree.small)
+    return attach_range(df, attribute, rule_ops.number_ranges(rules), job.column, how, tree.bound, tree.small)
 
 
 def compute(job: TagJob, source: DataFrame, tree: RuleTree, options: RunOptions = RunOptions()) -> DataFrame:
@@ -111,10 +111,13 @@ def run_job(job: TagJob, tree: RuleTree, read: Reader, stored: DataFrame | None,
 
 def run_jobs_in_turn(jobs: list[TagJob], tree: RuleTree, read: Reader, stored: DataFrame,
                      options: RunOptions = RunOptions()) -> DataFrame:
-    """The store after each job has merged into it, one after the other."""
+    """The store after each job has merged into it, one after the other.
+
+    Shuffles the store once per job; `run_jobs` gives the same rows with one shuffle.
+    """
     for job in jobs:
-        merged = run_job(job, tree, read, stored, options)
-        stored = upsert(stored, merged.where("tagsId is not null"), "userId")
+        new = collapse(compute(job, read(tree.source_spec(job.tag_id)), tree, options))
+        stored = merge_into_store(new, stored, tree.tag_ids(job.tag_id), options.drop_stale)
     return stored
 
 
@@ -141,35 +144,59 @@ def run_jobs(jobs: list[TagJob], tree: RuleTree, read: Reader, stored: DataFrame
     the stored tags then meet in ONE shuffle by user, in which merge and upsert are
     a single aggregate; in turn, every job would shuffle and rewrite the store.
     """
-    if options.drop_stale or not tree.small:
-        return run_jobs_in_turn(jobs, tree, read, stored, options)
-
+    texts = F.array().cast("array<string>")
+    numbers = F.array().cast("array<int>")
     user_type = stored.schema["userId"].dataType
-    frames = []
+    rows = stored.select("userId", texts.alias("found"), numbers.alias("touched"),
+                         F.col("tagsId").alias("old"), F.lit(True).alias("kept"))
     for spec, members in _source_groups(jobs, tree, options.rank):
         tagged = _statistics(read(spec), members, options)
         for job in members:
             tagged = _attach(tagged, job, tree, "left")
         found = F.array_compact(F.array(*[job.column for job in members]))
-        frames.append(tagged.select(F.col(members[0].key).cast(user_type).alias("userId"),
-                                    found.alias("found"), F.lit(None).cast("string").alias("old"),
-                                    F.lit(False).alias("kept")))
-    rows = stored.select("userId", F.array().cast("array<string>").alias("found"),
-                         F.col("tagsId").alias("old"), F.lit(True).alias("kept"))
-    for frame in frames:
-        rows = rows.unionByName(frame)
+        touched = F.array_compact(F.array(*[_touched(job, options.drop_stale) for job in members]))
+        rows = rows.unionByName(tagged.select(
+            F.col(members[0].key).cast(user_type).alias("userId"), found.alias("found"),
+            touched.alias("touched"), F.lit(None).cast("string").alias("old"), F.lit(False).alias("kept")))
 
+    # Sets, not lists: copies of a user's rows collapse on the map side already.
     per_user = rows.groupBy("userId").agg(
         F.array_distinct(F.flatten(F.collect_set("found"))).alias("found"),
+        F.array_distinct(F.flatten(F.collect_set("touched"))).alias("touched"),
         F.max("old").alias("old"), F.max("kept").alias("kept"))
+    per_user = per_user.where(F.col("kept") | (F.size("found") > 0))
+    others = _drop_touched(per_user, jobs, tree)
+    merged = tag_sets.to_text(F.concat("found", F.coalesce("others", texts)))
+    tags = F.when(F.size("touched") == 0, F.col("old")).otherwise(merged)
+    return others.select("userId", tags.alias("tagsId"))
 
-    old = tag_sets.to_set(F.col("old"))
-    for job in jobs:
-        category = F.array(*[F.lit(tag) for tag in tree.tag_ids(job.tag_id)]).cast("array<string>")
-        old = F.when(F.arrays_overlap("found", category), F.array_except(old, category)).otherwise(old)
-    merged = tag_sets.to_text(F.concat("found", F.coalesce(old, F.array().cast("array<string>"))))
-    tags = F.when(F.size("found") == 0, F.col("old")).otherwise(merged)
-    return per_user.where(F.col("kept") | (F.size("found") > 0)).select("userId", tags.alias("tagsId"))
+
+def _touched(job: TagJob, drop_stale: bool):
+    """The category a row clears in the stored tags, null for none.
+
+    With `drop_stale` an entity a left match has seen clears it without a new tag too.
+    """
+    if drop_stale and job.how == "left":
+        return F.lit(job.tag_id)
+    return F.when(F.col(job.column).isNotNull(), job.tag_id)
+
+
+def _drop_touched(per_user: DataFrame, jobs: list[TagJob], tree: RuleTree) -> DataFrame:
+    """Add `others`: the old tags outside the touched categories."""
+    if tree.small:
+        none = F.array().cast("array<string>")
+        removed = [
+            F.when(F.array_contains("touched", job.tag_id), F.split(F.lit(",".join(tree.tag_ids(job.tag_id))), ","))
+            .otherwise(none) for job in jobs]
+        return per_user.withColumn("others", F.array_except(tag_sets.to_set(F.col("old")), F.concat(*removed)))
+
+    # Categories too large for literals: look up the category of each old tag.
+    single = per_user.select("userId", "touched", F.explode(tag_sets.to_set(F.col("old"))).alias("tag"))
+    parents = tree.rules.select(F.col("id").cast("string").alias("tag"), F.col("pid").alias("_category"))
+    placed = lookup_join(single, parents, ["tag"], "left", small=False)
+    cleared = F.coalesce(F.array_contains("touched", F.col("_category")), F.lit(False))
+    kept = placed.where(~cleared).groupBy("userId").agg(F.collect_set("tag").alias("others"))
+    return per_user.join(kept, "userId", "left")
 
 
 def tag_store_run(jobs: list[TagJob], tree: RuleTree, read: Reader, store: VersionedTable,

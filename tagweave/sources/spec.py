@@ -27,6 +27,11 @@ class SourceSpec:
     doc_type: str
     fields: tuple[str, ...]
 
+    @staticmethod
+    def from_text(rule: str) -> "SourceSpec":
+        """One rule text; `decode` does the same for a column."""
+        return SourceSpec.from_map(dict(pair.split("=", 1) for pair in rule.split("##") if "=" in pair))
+
     @staticmethod
     def from_map(values: dict) -> "SourceSpec":
         missing = [key for key in KEYS if key not in values]

@@ -54,6 +54,18 @@ class VersionedTable:
         df.write.mode("overwrite").parquet(self.folder(version))
         return version
 
+    def expire(self, keep: int) -> None:
+        """Delete all but the newest `keep` committed versions, and failed folders before them."""
+        path, fs = self._hadoop()
+        committed = self.versions()
+        if len(committed) <= keep:
+            return
+        oldest_kept = committed[-keep]
+        for status in fs.listStatus(path(self.path)):
+            name = status.getPath().getName()
+            if name.startswith("v=") and name[2:].isdigit() and int(name[2:]) < oldest_kept:
+                fs.delete(status.getPath(), True)
+
     def upsert(self, rows: DataFrame, key: str) -> int:
         """Replace rows whose key is given, add new keys, keep the others."""
         committed = self.versions()

@@ -54,10 +54,15 @@ def batch_sinks(df: DataFrame, sinks: list[BatchSink], checkpoint: str, mode: st
     return _writer(df, checkpoint, mode, trigger).foreachBatch(write).start()
 
 
-def versioned_sink(path: str) -> BatchSink:
-    """Each batch result as the version of its number; see `VersionedTable`."""
+def versioned_sink(path: str, keep: int = 2) -> BatchSink:
+    """Each batch result as the version of its number; see `VersionedTable`.
+
+    A complete result supersedes the one before, so only the newest `keep` stay.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        VersionedTable(batch.sparkSession, path).write(batch, batch_id)
+        table = VersionedTable(batch.sparkSession, path)
+        table.write(batch, batch_id)
+        table.expire(keep)
 
     return write
 

@@ -101,8 +101,8 @@ def _agent_columns(column: str) -> str:
 
 ACCESS = f"""SELECT m.ip, pv, uv, coalesce(a.area, 'unknown') AS area, TRY_CAST(code AS INTEGER) AS code,
   {_agent_columns("useragent")}, access_time AS datetime
-  FROM (SELECT ip, count(ip) AS pv, 1 AS uv, first(code ORDER BY access_time, value) AS code,
-    first(useragent ORDER BY access_time, value) AS useragent, min(access_time) AS access_time,
+  FROM (SELECT ip, count(ip) AS pv, 1 AS uv, first(code ORDER BY access_time, code, useragent) AS code,
+    first(useragent ORDER BY access_time, code, useragent) AS useragent, min(access_time) AS access_time,
     first(number) AS number FROM numbered GROUP BY ip) m
   LEFT JOIN areas a ON m.number BETWEEN a.lo AND a.hi"""
 
