@@ -1,8 +1,7 @@
 """Behaviour events: nested JSON text to flat columns.
 
-The typed form parses each text once with `from_json`; Catalyst prunes the schema
-to the fields a query uses. The path form reads one field per call and is kept for
-ad-hoc use.
+The typed form parses each text once with `from_json`, however many fields are
+taken. The path form parses it again for each field and is kept for ad-hoc use.
 """
 
 from pyspark.sql import DataFrame, functions as F
@@ -19,21 +18,30 @@ NESTED_FIELDS = {
 FLAGS = NESTED_FIELDS["user_behavior"]
 
 
-def event_schema() -> str:
+def _wanted(names, only) -> tuple:
+    return tuple(name for name in names if only is None or name in only)
+
+
+def event_schema(only=None) -> str:
     """DDL of one event; every leaf is text, as the sender writes it."""
     def struct(names):
         return ", ".join(f"{name}: string" for name in names)
 
-    nested = ", ".join(f"{name} struct<{struct(names)}>" for name, names in NESTED_FIELDS.items())
-    top = ", ".join(f"{name} string" for name in TOP_FIELDS)
-    return f"{top}, {nested}"
+    top = [f"{name} string" for name in _wanted(TOP_FIELDS, only)]
+    nested = [f"{outer} struct<{struct(_wanted(names, only))}>"
+              for outer, names in NESTED_FIELDS.items() if _wanted(names, only)]
+    return ", ".join(top + nested)
+
 
+def parse_events(events: DataFrame, only=None) -> DataFrame:
+    """`value` text to the 21 flat text columns, or to those named in `only`.
 
-def parse_events(events: DataFrame) -> DataFrame:
-    """`value` text to the 21 flat text columns."""
-    parsed = events.select(F.from_json("value", event_schema()).alias("e"))
-    leaves = [F.col(f"e.{name}") for name in TOP_FIELDS]
-    leaves += [F.col(f"e.{outer}.{inner}") for outer, names in NESTED_FIELDS.items() for inner in names]
+    The parser skips every part of the text the schema does not name.
+    """
+    parsed = events.select(F.from_json("value", event_schema(only)).alias("e"))
+    leaves = [F.col(f"e.{name}") for name in _wanted(TOP_FIELDS, only)]
+    leaves += [F.col(f"e.{outer}.{inner}")
+               for outer, names in NESTED_FIELDS.items() for inner in _wanted(names, only)]
     return parsed.select(*leaves)
 
 

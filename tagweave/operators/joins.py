@@ -3,7 +3,8 @@
 A lookup within `Bound` is broadcast. A larger one is shuffled: the lookup is
 repeated once per salt and the fact spread over the salts, so that one hot key
 meets several tasks; copies of one row share a salt and are left to the adaptive
-skew join. Both ways give the same rows.
+skew join. The merge hint keeps an estimate that is too low from broadcasting it
+after all. Both ways give the same rows.
 """
 
 from dataclasses import dataclass
@@ -61,7 +62,7 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: list[str], how: str, sma
         salt = F.pmod(F.xxhash64(*fact.columns), F.lit(SALTS))
         left = fact.withColumn("_salt", salt).alias("f")
         every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
-        right = lookup.withColumn("_salt", every).alias("l")
+        right = lookup.withColumn("_salt", every).alias("l").hint("merge")
         keys = [*on, "_salt"]
     condition = reduce(lambda a, b: a & b, [F.col(f"f.{k}") == F.col(f"l.{k}") for k in keys])
     if extra is not None:

@@ -16,7 +16,8 @@ def score_with(load_model: Callable[[], Callable], column: Column, returns: str
     """Prediction of any other model, in Arrow batches.
 
     `load_model` runs once per task, on the worker, and gives a function from a
-    series of inputs to as many predictions; nothing but that loader is shipped.
+    series of inputs to as many predictions; nothing but that loader is shipped. A
+    filter on the prediction does not make Catalyst evaluate the model a second time.
     """
     @F.pandas_udf(returns)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -24,7 +25,7 @@ def score_with(load_model: Callable[[], Callable], column: Column, returns: str
         for batch in batches:
             yield pd.Series(predict(batch))
 
-    return score(column)
+    return score.asNondeterministic()(column)
 
 
 def linear_model(weight: float, bias: float) -> Callable[[], Callable]:
