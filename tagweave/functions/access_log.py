@@ -38,19 +38,25 @@ def access_time_text(text: Column) -> Column:
     return F.date_format(access_time(text), TEXT_TIME)
 
 
-def _split_line(lines: DataFrame) -> DataFrame:
-    parts = F.split(F.regexp_replace("value", _WHOLE_LINE, _GROUPS), SEPARATOR)
-    return lines.withColumn("_parts", parts)
+def _parts(value: Column) -> Column:
+    return F.split(F.regexp_replace(value, _WHOLE_LINE, _GROUPS), SEPARATOR)
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Lines that match, as `value`, the ten text fields and `access_time`."""
-    matched = _split_line(lines).where(F.size("_parts") == len(FIELDS))
-    fields = [F.get("_parts", F.lit(i)).alias(name) for i, name in enumerate(FIELDS)]
-    return matched.select("value", *fields).withColumn("access_time", access_time(F.col("datetime")))
+    """Lines that match, as `value`, the ten text fields and `access_time`.
+
+    Fields come out of an outer `inline`: a filter on its output stays above it. A
+    filter on the parts themselves would be pushed below the projection and match
+    every line a second time.
+    """
+    split = lines.select("value", _parts(F.col("value")).alias("_parts"))
+    fields = F.struct(*[F.get("_parts", F.lit(i)).alias(name) for i, name in enumerate(FIELDS)])
+    found = F.inline_outer(F.when(F.size("_parts") == len(FIELDS), F.array(fields)))
+    matched = split.select("value", found).where("ip is not null")
+    return matched.withColumn("access_time", access_time(F.col("datetime")))
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """The lines `parse_lines` leaves out, whole, so that nothing is lost silently."""
-    rejected = F.size("_parts") != len(FIELDS)
-    return _split_line(lines).where(rejected | F.col("value").isNull()).select("value")
+    whole = F.size(_parts(F.col("value"))) == len(FIELDS)
+    return lines.where(~F.coalesce(whole, F.lit(False))).select("value")

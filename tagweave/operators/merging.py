@@ -42,17 +42,21 @@ def merge_union(new: DataFrame, stored: DataFrame) -> DataFrame:
     return _stored_pair(new, stored).select("userId", merged.alias("tagsId"))
 
 
-def merge_tags(new: DataFrame, stored: DataFrame, category: DataFrame, drop_stale: bool = False,
+def merge_tags(new: DataFrame, stored: DataFrame, category: DataFrame | list[str], drop_stale: bool = False,
                bound: Bound = DEFAULT_BOUND) -> DataFrame:
-    """Merge one category's new tags; `category` holds its tag ids in column `id`.
+    """Merge one category's new tags.
 
-    A category within the bound becomes a literal set inside the expression. A
-    larger one is removed from the stored tags by an anti-join first.
+    `category` holds its tag ids, as a list or as a frame with column `id`. A list,
+    or a frame within the bound, becomes a literal set inside the expression. A
+    larger frame is removed from the stored tags by an anti-join first.
     """
-    ids = category.select(F.col("id").cast("string").alias("id")).distinct()
-    if fits(ids, bound):
-        literal = F.lit(",".join(sorted(r["id"] for r in ids.collect())))
-        merged = merged_column(F.col("tagsId"), F.col("_old"), literal, drop_stale)
+    if isinstance(category, DataFrame):
+        ids = category.select(F.col("id").cast("string").alias("id"))
+        literal = sorted({r["id"] for r in ids.collect()}) if fits(ids, bound) else None
+    else:
+        literal = category
+    if literal is not None:
+        merged = merged_column(F.col("tagsId"), F.col("_old"), F.lit(",".join(literal)), drop_stale)
         return _stored_pair(new, stored).select("userId", merged.alias("tagsId"))
 
     single = stored.select("userId", F.explode(tag_sets.to_set(F.col("tagsId"))).alias("tag"))

@@ -106,7 +106,8 @@ def run_job(job: TagJob, tree: RuleTree, read: Reader, stored: DataFrame | None,
     new = collapse(compute(job, read(tree.source_spec(job.tag_id)), tree, options))
     if stored is None:
         return new
-    return merge_tags(new, stored, tree.children(job.tag_id), options.drop_stale, tree.bound)
+    category = tree.tag_ids(job.tag_id) if tree.small else tree.children(job.tag_id)
+    return merge_tags(new, stored, category, options.drop_stale, tree.bound)
 
 
 def run_jobs_in_turn(jobs: list[TagJob], tree: RuleTree, read: Reader, stored: DataFrame,

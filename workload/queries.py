@@ -12,7 +12,7 @@ from tagweave.operators.joins import NEVER_BROADCAST
 from tagweave.operators.upsert import upsert
 from tagweave.plans import tag_jobs
 from tagweave.session import scratch_path
-from tagweave.sources.scans import scan
+from tagweave.sources.scans import scan, spread
 from tagweave.sources.spec import SourceSpec, decode_columns
 from tagweave.sources.store import VersionedTable
 from tagweave.streaming import jobs as stream_jobs
@@ -252,8 +252,16 @@ def tag_merge_union(spark, sf_dir):
 
 # Access log
 
+# The columns records are made of. Making and parsing them is heavy, so all cores take part.
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type")
+
+
+def _events(spark, sf_dir):
+    return spread(tables.load(spark, sf_dir, "events").select(*EVENT_COLUMNS))
+
+
 def _lines(spark, sf_dir):
-    return tables.access_lines(tables.load(spark, sf_dir, "events"))
+    return tables.access_lines(_events(spark, sf_dir))
 
 
 @query
@@ -300,7 +308,7 @@ def access_metrics(spark, sf_dir):
 # Behaviour events
 
 def _records(spark, sf_dir):
-    return tables.behaviour_records(tables.load(spark, sf_dir, "events"))
+    return tables.behaviour_records(_events(spark, sf_dir))
 
 
 @query
@@ -327,10 +335,15 @@ def behaviour_counts(spark, sf_dir):
 
 # Streams over the same table
 
+def _event_stream(spark, sf_dir):
+    batch = tables.load(spark, sf_dir, "events")
+    return spread(table_stream(spark, sf_dir, "events").select(*EVENT_COLUMNS), splits_of=batch)
+
+
 @query
 def stream_access_metrics(spark, sf_dir):
     tables.configure(spark)
-    lines = tables.access_lines(table_stream(spark, sf_dir, "events"))
+    lines = tables.access_lines(_event_stream(spark, sf_dir))
     return run_to_table(stream_jobs.access_job(lines, tables.area_ranges(spark), tables.AGENT_RULES),
                         scratch_path(spark, "access"))
 
@@ -338,7 +351,7 @@ def stream_access_metrics(spark, sf_dir):
 @query
 def stream_behaviour_counts(spark, sf_dir):
     tables.configure(spark)
-    records = tables.behaviour_records(table_stream(spark, sf_dir, "events"))
+    records = tables.behaviour_records(_event_stream(spark, sf_dir))
     return run_to_table(stream_jobs.behaviour_job(records), scratch_path(spark, "behaviour"))
 
 
@@ -347,7 +360,7 @@ def stream_append_sink(spark, sf_dir):
     """Projection only, appended to Parquet files."""
     tables.configure(spark)
     path = scratch_path(spark, "append")
-    lines = values(tables.access_lines(table_stream(spark, sf_dir, "events")))
+    lines = values(tables.access_lines(_event_stream(spark, sf_dir)))
     stream_sink(lines, "parquet", f"{path}/checkpoint", "append", {"availableNow": True},
                 path=f"{path}/table").awaitTermination()
     return spark.read.parquet(f"{path}/table")
@@ -358,7 +371,7 @@ def stream_foreach_batch(spark, sf_dir):
     """One query, two sinks; the rows of both are given."""
     tables.configure(spark)
     path = scratch_path(spark, "fanout")
-    records = tables.behaviour_records(table_stream(spark, sf_dir, "events"))
+    records = tables.behaviour_records(_event_stream(spark, sf_dir))
     sinks = [versioned_sink(f"{path}/a"), versioned_sink(f"{path}/b")]
     batch_sinks(stream_jobs.behaviour_job(records), sinks, f"{path}/checkpoint", "complete",
                 {"availableNow": True}).awaitTermination()
@@ -371,7 +384,7 @@ def stream_watermark_counts(spark, sf_dir):
     """Closed windows only: append mode gives a window once the watermark passes it."""
     tables.configure(spark)
     path = scratch_path(spark, "windows")
-    records = tables.behaviour_records(table_stream(spark, sf_dir, "events"))
+    records = tables.behaviour_records(_event_stream(spark, sf_dir))
     stream_sink(stream_jobs.windowed_behaviour_job(records), "parquet", f"{path}/checkpoint", "append",
                 {"availableNow": True}, path=f"{path}/table").awaitTermination()
     return spark.read.parquet(f"{path}/table")
