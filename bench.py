@@ -90,12 +90,12 @@ def compare_udfs(spark, sf_dir, runs) -> dict:
     merge, area, agent = python_udfs()
     # Parsed lines and stored tags are kept in memory, so that only the operator is timed.
     lines = parse_lines(tables.access_lines(tables.load(spark, sf_dir, "events"))).select("ip", "useragent")
-    for _ in range(3):
+    for _ in range(5):
         lines = lines.unionByName(lines)
     lines = lines.persist()
     tags = tables.load(spark, sf_dir, "orders").select(
         F.lit("25").alias("new"), F.concat_ws(",", F.lit("24"), (F.col("o_orderkey") % 90).cast("string")).alias("old"))
-    for _ in range(3):
+    for _ in range(5):
         tags = tags.unionByName(tags)
     tags = tags.persist()
     category = F.lit("24,25,26")

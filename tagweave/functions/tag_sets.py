@@ -13,15 +13,25 @@ def to_set(tags: Column) -> Column:
 
 
 def to_text(tags: Column) -> Column:
-    """Array to sorted comma text; a null or empty set becomes null."""
-    text = F.array_join(F.array_sort(F.array_distinct(tags)), ",")
-    return F.when(F.size(tags) > 0, text)
+    """Array to sorted comma text; an empty set is empty text."""
+    return F.array_join(F.sort_array(F.array_distinct(tags)), ",")
+
+
+def filled(tags: Column) -> Column:
+    """As `to_text`, an empty set becoming null. For plain columns: they are read twice."""
+    return F.when(F.size(tags) > 0, to_text(tags))
 
 
 def union(left: Column, right: Column) -> Column:
-    return to_text(F.array_union(to_set(left), to_set(right)))
+    return F.array_join(F.sort_array(F.array_union(to_set(left), to_set(right))), ",")
 
 
 def without(tags: Column, removed: Column) -> Column:
-    """Every copy of the removed tags is dropped."""
-    return to_text(F.array_except(to_set(tags), to_set(removed)))
+    """Every copy of the removed tags is dropped; null when none is left."""
+    return F.nullif(to_text(F.array_except(to_set(tags), to_set(removed))), F.lit(""))
+
+
+def replace(new: Column, old: Column, removed: Column) -> Column:
+    """The old tags without the removed ones, and the new ones."""
+    kept = F.array_except(to_set(old), to_set(removed))
+    return F.array_join(F.sort_array(F.array_union(to_set(new), kept)), ",")

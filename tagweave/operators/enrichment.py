@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from tagweave.functions.ip import ip_number
+from tagweave.functions.ip import with_ip_number
 from tagweave.functions.user_agent import DEFAULT_RULES, AgentRules, agent_columns
 from tagweave.operators.joins import DEFAULT_BOUND, Bound, fits, lookup_join, range_join
 
@@ -12,7 +12,7 @@ UNKNOWN_AREA = "unknown"
 
 def address_ranges(cidr: DataFrame) -> DataFrame:
     """(first, last, area) with dotted addresses to numeric (lo, hi, area)."""
-    return cidr.select(ip_number(F.col("first")).alias("lo"), ip_number(F.col("last")).alias("hi"), "area")
+    return with_ip_number(with_ip_number(cidr, "first", "lo"), "last", "hi").select("lo", "hi", "area")
 
 
 def overlapping(areas: DataFrame) -> DataFrame:
@@ -31,8 +31,7 @@ def overlapping(areas: DataFrame) -> DataFrame:
 def add_area(df: DataFrame, areas: DataFrame, ip: str = "ip", fallback: str = UNKNOWN_AREA,
              bound: Bound = DEFAULT_BOUND) -> DataFrame:
     """Add `area` by disjoint address ranges (lo, hi, area); `fallback` elsewhere."""
-    numbered = df.withColumn("_ip", ip_number(F.col(ip)))
-    found = range_join(numbered, "_ip", areas.select("lo", "hi", "area"), "left", bound)
+    found = range_join(with_ip_number(df, ip, "_ip"), "_ip", areas.select("lo", "hi", "area"), "left", bound)
     return found.drop("_ip").withColumn("area", F.coalesce("area", F.lit(fallback)))
 
 

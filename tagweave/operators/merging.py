@@ -14,7 +14,7 @@ from tagweave.operators.joins import DEFAULT_BOUND, Bound, fits
 def collapse(new: DataFrame) -> DataFrame:
     """Several tag rows of one user to one sorted set; users without a tag keep null."""
     tags = F.collect_set("tagsId")
-    return new.groupBy("userId").agg(tag_sets.to_text(tags).alias("tagsId"))
+    return new.groupBy("userId").agg(tags.alias("_tags")).select("userId", tag_sets.filled(F.col("_tags")).alias("tagsId"))
 
 
 def merged_column(new: Column, old: Column, category: Column | None, drop_stale: bool = False) -> Column:
@@ -25,10 +25,8 @@ def merged_column(new: Column, old: Column, category: Column | None, drop_stale:
     """
     if category is None:
         return F.when(new.isNull(), old).when(old.isNull(), new).otherwise(tag_sets.union(new, old))
-    others = F.array_except(tag_sets.to_set(old), tag_sets.to_set(category))
-    unmatched = tag_sets.to_text(others) if drop_stale else old
-    both = tag_sets.to_text(F.array_union(tag_sets.to_set(new), others))
-    return F.when(new.isNull(), unmatched).when(old.isNull(), new).otherwise(both)
+    unmatched = tag_sets.without(old, category) if drop_stale else old
+    return F.when(new.isNull(), unmatched).when(old.isNull(), new).otherwise(tag_sets.replace(new, old, category))
 
 
 def _stored_pair(new: DataFrame, stored: DataFrame) -> DataFrame:
@@ -63,7 +61,7 @@ def merge_tags(new: DataFrame, stored: DataFrame, category: DataFrame | list[str
     others = single.join(ids, single["tag"] == ids["id"], "left_anti")
     kept = others.groupBy("userId").agg(F.collect_set("tag").alias("_kept"))
     pair = _stored_pair(new, stored).join(kept, "userId", "left")
-    kept_text = tag_sets.to_text(F.col("_kept"))
+    kept_text = tag_sets.filled(F.col("_kept"))
     unmatched = kept_text if drop_stale else F.col("_old")
     both = tag_sets.union(F.col("tagsId"), F.coalesce(kept_text, F.lit("")))
     merged = F.when(F.col("tagsId").isNull(), unmatched).when(F.col("_old").isNull(), F.col("tagsId")).otherwise(both)

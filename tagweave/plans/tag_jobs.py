@@ -166,10 +166,10 @@ def run_jobs(jobs: list[TagJob], tree: RuleTree, read: Reader, stored: DataFrame
         F.array_distinct(F.flatten(F.collect_set("touched"))).alias("touched"),
         F.max("old").alias("old"), F.max("kept").alias("kept"))
     per_user = per_user.where(F.col("kept") | (F.size("found") > 0))
-    others = _drop_touched(per_user, jobs, tree)
-    merged = tag_sets.to_text(F.concat("found", F.coalesce("others", texts)))
-    tags = F.when(F.size("touched") == 0, F.col("old")).otherwise(merged)
-    return others.select("userId", tags.alias("tagsId"))
+    with_others = _drop_touched(per_user, jobs, tree)
+    merged = with_others.withColumn("merged", F.concat("found", F.coalesce("others", texts)))
+    tags = F.when(F.size("touched") == 0, F.col("old")).otherwise(tag_sets.filled(F.col("merged")))
+    return merged.select("userId", tags.alias("tagsId"))
 
 
 def _touched(job: TagJob, drop_stale: bool):

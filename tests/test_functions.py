@@ -35,7 +35,7 @@ def test_text_parts_and_dates(spark):
 
 def test_ip_number(spark):
     data = [("10.1.0.2",), ("255.255.255.255",), ("256.1.1.1",), ("1.2.3",), ("",), (None,), ("a.b.c.d",)]
-    got = value_of(spark, data, "v string", ip.ip_number(F.col("v")))
+    got = [r["n"] for r in ip.with_ip_number(spark.createDataFrame(data, "v string"), "v", "n").collect()]
     assert got == [10 * 2**24 + 2**16 + 2, 2**32 - 1, None, None, None, None, None]
 
 
