@@ -6,6 +6,7 @@ from pyspark.sql.window import Window
 from tagweave.functions.ip import with_ip_number
 from tagweave.functions.user_agent import DEFAULT_RULES, AgentRules, agent_columns
 from tagweave.operators.joins import DEFAULT_BOUND, Bound, fits, lookup_join, range_join
+from tagweave.session import written
 
 UNKNOWN_AREA = "unknown"
 
@@ -44,10 +45,11 @@ def add_agent_by_dictionary(df: DataFrame, agent: str = "useragent", rules: Agen
                             bound: Bound = DEFAULT_BOUND) -> DataFrame:
     """As `add_agent`, classifying each distinct text once; batch only.
 
-    Pays when the rules are many: texts repeat a great deal and `distinct` combines
-    them before its shuffle. The dictionary is broadcast if its measured size allows.
+    Reads `df` twice, so it pays when the rules are many: texts repeat a great deal
+    and `distinct` combines them before its shuffle. The dictionary is written out,
+    measured there, and broadcast if its size allows.
     """
     texts = df.select(F.col(agent)).where(F.col(agent).isNotNull()).distinct()
-    dictionary = texts.select(agent, *agent_columns(F.col(agent), rules))
-    joined = lookup_join(df, dictionary, [agent], "left", fits(texts, bound))
+    dictionary = written(texts.select(agent, *agent_columns(F.col(agent), rules)), "agents")
+    joined = lookup_join(df, dictionary, [agent], "left", fits(dictionary, bound))
     return joined.fillna(rules.fallback, ["os", "device", "browser"])

@@ -8,7 +8,7 @@ comma text. `userId` is unique in both frames.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tagweave.functions import tag_sets
-from tagweave.operators.joins import DEFAULT_BOUND, Bound, fits
+from tagweave.operators.joins import DEFAULT_BOUND, Bound, fits, lookup_join
 
 
 def collapse(new: DataFrame) -> DataFrame:
@@ -45,8 +45,8 @@ def merge_tags(new: DataFrame, stored: DataFrame, category: DataFrame | list[str
     """Merge one category's new tags.
 
     `category` holds its tag ids, as a list or as a frame with column `id`. A list,
-    or a frame within the bound, becomes a literal set inside the expression. A
-    larger frame is removed from the stored tags by an anti-join first.
+    or a frame within the bound, becomes a literal set inside the expression. With a
+    larger frame the old tags are looked up in it one by one.
     """
     if isinstance(category, DataFrame):
         ids = category.select(F.col("id").cast("string").alias("id"))
@@ -57,15 +57,18 @@ def merge_tags(new: DataFrame, stored: DataFrame, category: DataFrame | list[str
         merged = merged_column(F.col("tagsId"), F.col("_old"), F.lit(",".join(literal)), drop_stale)
         return _stored_pair(new, stored).select("userId", merged.alias("tagsId"))
 
-    single = stored.select("userId", F.explode(tag_sets.to_set(F.col("tagsId"))).alias("tag"))
-    others = single.join(ids, single["tag"] == ids["id"], "left_anti")
-    kept = others.groupBy("userId").agg(F.collect_set("tag").alias("_kept"))
-    pair = _stored_pair(new, stored).join(kept, "userId", "left")
-    kept_text = tag_sets.filled(F.col("_kept"))
-    unmatched = kept_text if drop_stale else F.col("_old")
-    both = tag_sets.union(F.col("tagsId"), F.coalesce(kept_text, F.lit("")))
+    # One pass over the pairs: each old tag looks up whether the category holds it.
+    pairs = _stored_pair(new, stored)
+    single = pairs.select("*", F.explode_outer(tag_sets.to_set(F.col("_old"))).alias("tag"))
+    members = ids.distinct().select(F.col("id").alias("tag"), F.lit(True).alias("_member"))
+    checked = lookup_join(single, members, ["tag"], "left", small=False)
+    kept = F.collect_set(F.when(F.col("_member").isNull(), F.col("tag")))
+    per_user = checked.groupBy("userId").agg(
+        F.any_value("tagsId").alias("tagsId"), F.any_value("_old").alias("_old"), kept.alias("_kept"))
+    unmatched = tag_sets.filled(F.col("_kept")) if drop_stale else F.col("_old")
+    both = tag_sets.to_text(F.concat(tag_sets.to_set(F.col("tagsId")), "_kept"))
     merged = F.when(F.col("tagsId").isNull(), unmatched).when(F.col("_old").isNull(), F.col("tagsId")).otherwise(both)
-    return pair.select("userId", merged.alias("tagsId"))
+    return per_user.select("userId", merged.alias("tagsId"))
 
 
 def merge_into_store(new: DataFrame, stored: DataFrame, category: list[str], drop_stale: bool = False) -> DataFrame:

@@ -191,13 +191,15 @@ def _drop_touched(per_user: DataFrame, jobs: list[TagJob], tree: RuleTree) -> Da
             .otherwise(none) for job in jobs]
         return per_user.withColumn("others", F.array_except(tag_sets.to_set(F.col("old")), F.concat(*removed)))
 
-    # Categories too large for literals: look up the category of each old tag.
-    single = per_user.select("userId", "touched", F.explode(tag_sets.to_set(F.col("old"))).alias("tag"))
+    # Categories too large for literals: each old tag looks up its own. The users'
+    # other columns travel along, so that `per_user` is evaluated once.
+    single = per_user.select("*", F.explode_outer(tag_sets.to_set(F.col("old"))).alias("tag"))
     parents = tree.rules.select(F.col("id").cast("string").alias("tag"), F.col("pid").alias("_category"))
     placed = lookup_join(single, parents, ["tag"], "left", small=False)
     cleared = F.coalesce(F.array_contains("touched", F.col("_category")), F.lit(False))
-    kept = placed.where(~cleared).groupBy("userId").agg(F.collect_set("tag").alias("others"))
-    return per_user.join(kept, "userId", "left")
+    return placed.groupBy("userId").agg(
+        F.any_value("found").alias("found"), F.any_value("touched").alias("touched"),
+        F.any_value("old").alias("old"), F.collect_set(F.when(~cleared, F.col("tag"))).alias("others"))
 
 
 def tag_store_run(jobs: list[TagJob], tree: RuleTree, read: Reader, store: VersionedTable,

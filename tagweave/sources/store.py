@@ -5,7 +5,7 @@ marker is in it. A job that dies leaves a folder without marker, which readers
 ignore and a retry overwrites. Readers of an older version are not disturbed.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagweave.operators.upsert import upsert
 
@@ -74,6 +74,16 @@ class VersionedTable:
         return self.write(upsert(self.read(committed[-1]), rows, key), committed[-1] + 1)
 
 
+def upsert_table(df: DataFrame, table: str, key: str) -> None:
+    """Keyed upsert into a catalog table whose format has row-level updates.
+
+    Such a format rewrites only the files that hold a given key; `VersionedTable`
+    is for plain Parquet, where a new state is written whole.
+    """
+    merge = df.alias("given").mergeInto(table, F.expr(f"{table}.{key} = given.{key}"))
+    merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 def upsert_search_index(df: DataFrame, nodes: str, key: str = "userId", index: str = "tags_result",
                         **options) -> None:
     """Keyed upsert into a search index: the document id is the key column."""

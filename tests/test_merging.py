@@ -5,7 +5,7 @@ from tagweave.operators import merging
 from tagweave.operators.joins import DEFAULT_BOUND, NEVER_BROADCAST
 from tagweave.operators.upsert import upsert
 from tagweave.session import scratch_path
-from tagweave.sources.store import VersionedTable
+from tagweave.sources.store import VersionedTable, upsert_table
 
 PAIR = "userId bigint, tagsId string"
 
@@ -80,3 +80,14 @@ def test_failed_write_is_not_seen(spark):
     assert store.versions() == [0] and pairs(store.read()) == {1: "a"}
     assert store.write(spark.createDataFrame([(1, "b")], PAIR)) == 1
     assert pairs(store.read()) == {1: "b"}
+
+
+def test_plain_table_refuses_row_level_merge(spark):
+    """Without a table format for it the merge is refused, so the versioned table is used."""
+    name = "plain_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    spark.createDataFrame([(1, "a")], PAIR).write.option("path", scratch_path(spark, "plain")).saveAsTable(name)
+    try:
+        with pytest.raises(Exception, match="MERGE"):
+            upsert_table(spark.createDataFrame([(1, "b")], PAIR), name, "userId")
+    finally:
+        spark.sql(f"DROP TABLE {name}")

@@ -179,6 +179,34 @@ def test_kafka_options_pass_through():
                            "startingOffsets": '{"topic":{"0":16678}}', "maxOffsetsPerTrigger": 100}
 
 
+class WriteRecorder:
+    """Stands in for a stream writer, for the same reason."""
+
+    def __init__(self):
+        self.made = []
+
+    @property
+    def writeStream(self):
+        return self
+
+    def start(self):
+        return self.made
+
+    def __getattr__(self, name):
+        def record(*args, **options):
+            self.made.append((name, args or options))
+            return self
+
+        return record
+
+
+def test_kafka_sink_has_topic_and_checkpoint():
+    made = sinks.kafka_sink(WriteRecorder(), "host:9092", "topic", "/shared/ckp", trigger={"processingTime": "1 minute"})
+    assert made == [("outputMode", ("append",)), ("option", ("checkpointLocation", "/shared/ckp")),
+                    ("trigger", {"processingTime": "1 minute"}), ("format", ("kafka",)),
+                    ("options", {"kafka.bootstrap.servers": "host:9092", "topic": "topic"})]
+
+
 def test_binary_value_becomes_text(spark):
     df = spark.createDataFrame([(bytearray(b"malformed"), 0)], "value binary, partition int")
     assert sources.values(df).first()["value"] == "malformed"
