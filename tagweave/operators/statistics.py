@@ -43,9 +43,10 @@ def recency_and_favourite(df: DataFrame, key: str, seconds: str, category: str,
     """
     counts = df.groupBy(key, category).agg(
         F.count(key).alias("_count"), F.max(seconds).alias("_latest"))
-    best = F.min_by(F.col(category), F.struct((-F.col("_count")).alias("c"), F.col(category).alias("k")))
-    both = counts.groupBy(key).agg(F.max("_latest").alias("_latest"), best.alias(category))
-    return both.select(key, days_since(F.col("_latest"), F.to_date(F.lit(as_of))).alias("days"), category)
+    best = F.min(F.struct((-F.col("_count")).alias("order"), F.col(category).alias("name")))
+    both = counts.groupBy(key).agg(F.max("_latest").alias("_latest"), best.alias("_best"))
+    days = days_since(F.col("_latest"), F.to_date(F.lit(as_of)))
+    return both.select(key, days.alias("days"), F.col("_best.name").alias(category))
 
 
 def keyed_reduce(df: DataFrame, key: str, value: str, zero: int = 0) -> DataFrame:

@@ -14,7 +14,8 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     session = (SparkSession.builder.master("local[8]").appName("tests")
-               .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+               .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .config("spark.driver.memory", "4g").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield configure(session)
