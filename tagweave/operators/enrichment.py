@@ -32,8 +32,9 @@ def overlapping(areas: DataFrame) -> DataFrame:
 def add_area(df: DataFrame, areas: DataFrame, ip: str = "ip", fallback: str = UNKNOWN_AREA,
              bound: Bound = DEFAULT_BOUND) -> DataFrame:
     """Add `area` by disjoint address ranges (lo, hi, area); `fallback` elsewhere."""
-    found = range_join(with_ip_number(df, ip, "_ip"), "_ip", areas.select("lo", "hi", "area"), "left", bound)
-    return found.drop("_ip").withColumn("area", F.coalesce("area", F.lit(fallback)))
+    numbered = with_ip_number(df, ip, "_ip")
+    found = range_join(numbered, "_ip", areas.select("lo", "hi", "area"), "left", bound, keep=df.columns)
+    return found.withColumn("area", F.coalesce("area", F.lit(fallback)))
 
 
 def add_agent(df: DataFrame, agent: str = "useragent", rules: AgentRules = DEFAULT_RULES) -> DataFrame:

@@ -47,13 +47,18 @@ def fits(df: DataFrame, bound: Bound = DEFAULT_BOUND) -> bool:
 
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, on: list[str], how: str, small: bool,
-                extra: Column | None = None) -> DataFrame:
+                extra: Column | None = None, keep: list[str] | None = None,
+                payload: list[str] | None = None) -> DataFrame:
     """Join on equal key columns `on` (same name on both sides) and `extra`.
 
-    `how` is inner or left. Fact columns come first, then the lookup's own; the
-    key columns appear once, with the fact's values.
+    `how` is inner or left. The result has the fact's columns, or those in `keep`,
+    and then the lookup's other columns, or those in `payload`. In `extra` the fact
+    is `f` and the lookup `l`.
     """
-    keep = [f"f.{c}" for c in fact.columns] + [f"l.{c}" for c in lookup.columns if c not in on]
+    if keep is None:
+        keep = fact.columns
+    if payload is None:
+        payload = [c for c in lookup.columns if c not in on]
     if small:
         right = F.broadcast(lookup.alias("l"))
         keys = list(on)
@@ -67,7 +72,7 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: list[str], how: str, sma
     condition = reduce(lambda a, b: a & b, [F.col(f"f.{k}") == F.col(f"l.{k}") for k in keys])
     if extra is not None:
         condition = condition & extra
-    return left.join(right, condition, how).select(*keep)
+    return left.join(right, condition, how).select(*[f"f.{c}" for c in keep], *[f"l.{c}" for c in payload])
 
 
 def _average_width(ranges: DataFrame) -> float:
@@ -77,7 +82,8 @@ def _average_width(ranges: DataFrame) -> float:
 
 
 def range_join(fact: DataFrame, value: str, ranges: DataFrame, how: str = "inner",
-               bound: Bound = DEFAULT_BOUND, small: bool | None = None) -> DataFrame:
+               bound: Bound = DEFAULT_BOUND, small: bool | None = None,
+               keep: list[str] | None = None) -> DataFrame:
     """Rows of `ranges` (lo, hi, payload..) whose closed range holds `fact[value]`.
 
     The axis is cut into buckets as wide as the average range, so the ranges fill
@@ -101,5 +107,5 @@ def range_join(fact: DataFrame, value: str, ranges: DataFrame, how: str = "inner
     buckets = ranges.withColumn("_bucket", F.explode(F.sequence(bucket("lo"), bucket("hi"))))
     payload = [c for c in ranges.columns if c not in ("lo", "hi")]
     inside = F.col(f"f.{value}").between(F.col("l.lo"), F.col("l.hi"))
-    joined = lookup_join(fact.withColumn("_bucket", bucket(value)), buckets, ["_bucket"], how, small, inside)
-    return joined.select(*fact.columns, *payload)
+    return lookup_join(fact.withColumn("_bucket", bucket(value)), buckets, ["_bucket"], how, small, inside,
+                       keep or fact.columns, payload)

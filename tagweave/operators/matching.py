@@ -6,21 +6,33 @@ with a null tag. A rule id becomes text, the form in which tags are stored.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DecimalType, FractionalType, IntegralType
 
 from tagweave.operators.joins import DEFAULT_BOUND, Bound, fits, lookup_join, range_join
 
 
+def _comparable(df: DataFrame, attribute: Column) -> str:
+    """Type in which the attribute meets the rule text: numbers as numbers, else text."""
+    kind = df.select(attribute.alias("a")).schema["a"].dataType
+    if isinstance(kind, IntegralType):
+        return "bigint"
+    return "double" if isinstance(kind, (FractionalType, DecimalType)) else "string"
+
+
 def attach_equal(df: DataFrame, attribute: Column, rules: DataFrame, tag: str, how: str = "left",
                  bound: Bound = DEFAULT_BOUND, small: bool | None = None) -> DataFrame:
-    """Add column `tag` by comparing the attribute, as text, with the rule text.
+    """Add column `tag` by comparing the attribute with the rule text.
 
-    `small` skips the size check where the caller has made it already.
+    A numeric attribute meets the number in the text; text that is no number matches
+    nothing and raises nothing. `small` skips the size check where the caller has
+    made it already.
     """
-    lookup = rules.select(F.col("rule").alias("_code"), F.col("id").cast("string").alias(tag))
+    kind = _comparable(df, attribute)
+    lookup = rules.select(F.col("rule").try_cast(kind).alias("_code"), F.col("id").cast("string").alias(tag))
     if small is None:
         small = fits(lookup, bound)
-    coded = df.withColumn("_code", attribute.cast("string"))
-    return lookup_join(coded, lookup, ["_code"], how, small).drop("_code")
+    coded = df.withColumn("_code", attribute.cast(kind))
+    return lookup_join(coded, lookup, ["_code"], how, small, keep=df.columns)
 
 
 def attach_range(df: DataFrame, value: Column, ranges: DataFrame, tag: str, how: str = "left",
@@ -28,7 +40,7 @@ def attach_range(df: DataFrame, value: Column, ranges: DataFrame, tag: str, how:
     """Add column `tag` by closed numeric ranges (id, lo, hi); overlaps give several rows."""
     lookup = ranges.select("lo", "hi", F.col("id").cast("string").alias(tag))
     valued = df.withColumn("_value", value.cast("bigint"))
-    return range_join(valued, "_value", lookup, how, bound, small).drop("_value")
+    return range_join(valued, "_value", lookup, how, bound, small, keep=df.columns)
 
 
 def tag_equal(df: DataFrame, key: str, attribute: str, rules: DataFrame, how: str = "left",

@@ -4,8 +4,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagweave.sources.spec import SourceSpec
 
-FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
-
 
 def search_options(spec: SourceSpec) -> dict[str, str]:
     """Options of the search-index connector: field list pushed down, dates kept as text."""

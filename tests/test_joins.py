@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tagweave.operators.matching import attach_equal
 from tagweave.operators.joins import DEFAULT_BOUND, NEVER_BROADCAST, Bound, fits, lookup_join, range_join
 
 BOUNDS = [DEFAULT_BOUND, NEVER_BROADCAST]
@@ -70,3 +71,16 @@ def test_size_check(spark):
     assert not fits(df, Bound(rows=9, text_bytes=30))
     assert not fits(df, Bound(rows=10, text_bytes=29))
     assert fits(df.where(F.lit(False)), Bound(rows=0, text_bytes=0))
+
+
+@pytest.mark.parametrize("data, kind, expected", [
+    ([1, 2, None], "bigint", [("1", "10"), ("1", "11"), ("2", None), ("None", None)]),
+    ([1.0, 1.5, None], "double", [("1.0", "10"), ("1.0", "11"), ("1.5", "12"), ("None", None)]),
+    (["1", "01", "x"], "string", [("01", "11"), ("1", "10"), ("x", "13")]),
+])
+def test_attribute_type_decides_the_comparison(spark, data, kind, expected):
+    rules = spark.createDataFrame([(10, "1"), (11, "01"), (12, "1.5"), (13, "x"), (14, None)], "id int, rule string")
+    df = spark.createDataFrame([(v,) for v in data], f"v {kind}")
+    for bound in BOUNDS:
+        got = attach_equal(df, F.col("v"), rules, "tag", "left", bound).collect()
+        assert sorted([(str(r["v"]), r["tag"]) for r in got], key=str) == expected

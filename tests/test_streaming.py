@@ -62,6 +62,16 @@ def test_stream_equals_batch_over_batches_and_a_restart(spark, events, name):
     assert rows(table.read()) == rows(job(render(events), spark))
 
 
+def test_table_stream_reads_a_folder_of_files(spark, events):
+    """On a cluster a table is a folder; the same name then finds its files."""
+    folder = scratch_path(spark, "folder")
+    events.repartition(3).write.parquet(f"{folder}/events.parquet")
+    out = scratch_path(spark, "out")
+    stream = tables.behaviour_records(sources.table_stream(spark, folder, "events", maxFilesPerTrigger=1))
+    got = sinks.run_to_table(jobs.behaviour_job(stream), out)
+    assert rows(got) == rows(jobs.behaviour_job(tables.behaviour_records(events)))
+
+
 def test_repeated_batch_leaves_the_same_state(spark):
     path = scratch_path(spark, "sink")
     sink = sinks.versioned_sink(path)

@@ -111,17 +111,13 @@ def tag_equal_shuffled(spark, sf_dir):
                               tables.rule_tree(spark).children(7), "left", NEVER_BROADCAST)
 
 
-def _age_tags(spark, sf_dir, bound=None):
+@query
+def tag_range_inner(spark, sf_dir):
     ranges = rules.date_ranges(tables.rule_tree(spark).children(14))
     day = text.day_number(text.compact_date(text.strip_dashes(F.col("birthday"))))
     return matching.tag_range(tables.users(spark, sf_dir), "id", day, ranges, "inner")
 
 
-@query
-def tag_range_inner(spark, sf_dir):
-    return _age_tags(spark, sf_dir)
-
-
 def _days(spark, sf_dir):
     return statistics.recency_days(tables.pay_orders(spark, sf_dir), "memberid", "finishtime", tables.AS_OF)
 
