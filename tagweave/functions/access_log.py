@@ -38,25 +38,22 @@ def access_time_text(text: Column) -> Column:
     return F.date_format(access_time(text), TEXT_TIME)
 
 
-def _parts(value: Column) -> Column:
-    return F.split(F.regexp_replace(value, _WHOLE_LINE, _GROUPS), SEPARATOR)
-
-
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Lines that match, as `value`, the ten text fields and `access_time`.
 
-    Fields come out of an outer `inline`: a filter on its output stays above it. A
-    filter on the parts themselves would be pushed below the projection and match
-    every line a second time.
+    A line that does not match comes out of the replacement unchanged. Fields come
+    out of an outer `inline`: a filter on its output stays above it. A filter on the
+    replaced text would be pushed below the projection and match every line twice.
     """
-    split = lines.select("value", _parts(F.col("value")).alias("_parts"))
+    joined = lines.select("value", F.regexp_replace("value", _WHOLE_LINE, _GROUPS).alias("_joined"))
+    split = joined.withColumn("_parts", F.split("_joined", SEPARATOR))
     fields = F.struct(*[F.get("_parts", F.lit(i)).alias(name) for i, name in enumerate(FIELDS)])
-    found = F.inline_outer(F.when(F.size("_parts") == len(FIELDS), F.array(fields)))
+    found = F.inline_outer(F.when(F.col("_joined") != F.col("value"), F.array(fields)))
     matched = split.select("value", found).where("ip is not null")
     return matched.withColumn("access_time", access_time(F.col("datetime")))
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """The lines `parse_lines` leaves out, whole, so that nothing is lost silently."""
-    whole = F.size(_parts(F.col("value"))) == len(FIELDS)
-    return lines.where(~F.coalesce(whole, F.lit(False))).select("value")
+    matches = F.coalesce(F.col("value").rlike(LINE_PATTERN), F.lit(False))
+    return lines.where(~matches).select("value")

@@ -54,9 +54,10 @@ def test_sample_line_gives_ten_fields(spark):
 
 
 def test_matched_and_rejected_are_the_whole(spark):
-    lines = [SAMPLE_LINE, SAMPLE_LINE.replace("200", "x"), SAMPLE_LINE + "\x01", "\x01" * 9, SAMPLE_LINE[:40]]
+    lines = [SAMPLE_LINE, SAMPLE_LINE.replace("200", "x"), SAMPLE_LINE + "\x01", "\x01" * 9, "\x01".join("0123456789"), SAMPLE_LINE[:40]]
     df = spark.createDataFrame([(v,) for v in lines * 3], "value string")
-    assert access_log.parse_lines(df).count() + access_log.rejected_lines(df).count() == 15
+    assert [r["value"] for r in access_log.parse_lines(df).collect()] == [lines[0], lines[2]] * 3
+    assert sorted(r["value"] for r in access_log.rejected_lines(df).collect()) == sorted([lines[1], *lines[3:]] * 3)
 
 
 def test_access_time_text(spark):
