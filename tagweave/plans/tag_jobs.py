@@ -123,14 +123,19 @@ def run_jobs_in_turn(jobs: list[TagJob], tree: RuleTree, read: Reader, stored: D
 
 
 def _source_groups(jobs: list[TagJob], tree: RuleTree, rank: int) -> list[tuple[SourceSpec, list[TagJob]]]:
-    """Jobs that can share one scan: same source, key and kind."""
+    """Jobs that can share one scan: same source and key, and each statistic at most once."""
     groups: dict = {}
     for job in jobs:
         spec = tree.source_spec(job.tag_id)
-        kind = None if job.statistic is None else "statistics"
-        if kind and rank != 1:
-            kind = job.statistic
-        place = (spec.in_type, spec.nodes, spec.index, job.key, kind)
+        source = (spec.in_type, spec.nodes, spec.index, job.key)
+        if job.statistic is None:
+            place = (*source, "rows")
+        elif rank == 1:
+            place = (*source, "statistics")
+            if any(member.statistic == job.statistic for member in groups.get(place, (spec, []))[1]):
+                place = (*source, job.tag_id)
+        else:
+            place = (*source, job.tag_id)
         known, members = groups.get(place, (spec, []))
         groups[place] = (known.with_fields(spec.fields), [*members, job])
     return list(groups.values())

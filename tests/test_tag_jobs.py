@@ -1,9 +1,9 @@
 import pytest
 
 from tagweave.operators.joins import NEVER_BROADCAST
-from tagweave.operators.rules import RuleTree
+from tagweave.operators.rules import RULE_SCHEMA, RuleTree
 from tagweave.plans import tag_jobs
-from tagweave.plans.tag_jobs import JOBS, RunOptions
+from tagweave.plans.tag_jobs import JOBS, RunOptions, TagJob
 from tagweave.session import scratch_path
 from tagweave.sources.store import VersionedTable
 from workload import tables
@@ -62,6 +62,20 @@ def test_jobs_on_one_source_share_its_scan(parts):
     assert "BatchEvalPython" not in plan and "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+def test_two_jobs_with_one_statistic_do_not_share(spark):
+    """A second recency category on the same source counts its own days."""
+    tree = RuleTree(spark.createDataFrame(
+        [(1, 0, 4, "inType=x##esNodes=##esIndex=o##esType=_doc##selectFields=m,bought"),
+         (2, 0, 4, "inType=x##esNodes=##esIndex=o##esType=_doc##selectFields=m,returned"),
+         (11, 1, 5, "0-5"), (12, 1, 5, "6-50"), (21, 2, 5, "0-5"), (22, 2, 5, "6-50")], RULE_SCHEMA))
+    jobs = [TagJob(k, "j", "m", field, match=tag_jobs.NUMBERS, statistic=tag_jobs.RECENCY)
+            for k, field in ((1, "bought"), (2, "returned"))]
+    source = spark.createDataFrame([(7, 0, 86400 * 9)], "m bigint, bought bigint, returned bigint")
+    stored = spark.createDataFrame([(7, "11,99")], "userId bigint, tagsId string")
+    got = tag_jobs.run_jobs(jobs, tree, lambda spec: source.select(*spec.fields), stored, RunOptions("1970-01-11"))
+    assert rows(got) == [(7, "12,21,99")]
+
+
 def test_store_run_is_idempotent(spark, parts):
     tree, read, stored = parts
     options = RunOptions(tables.AS_OF)
