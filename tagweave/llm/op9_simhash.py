@@ -224,7 +224,7 @@ def stars(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, size: int = 4, bits: int = 64, radius: int = 4, sampled: bool = False,
                     keep: tuple[str, ...] = ()) -> DataFrame:
-    """_id, fp, component_id (smallest doc_id of all that are linked, null only if none has one), first (whether the
+    """_id, node, component_id (smallest doc_id of all that are linked, null only if none has one), first (whether the
     row is the one that stands for its component) and the columns of `keep`.
 
     Null and empty text, and text without words: fingerprint zero, linked like any other. Repeated rows are copies;
@@ -241,13 +241,13 @@ def near_duplicates(docs: DataFrame, size: int = 4, bits: int = 64, radius: int
     roots = written(members.groupBy("root").agg(F.min("least").alias("first")), "simhash-roots")
     named = written(members.drop("least").join(roots, "root").select("node", "first"), "simhash-named")
     return rows.join(named, "node").select(
-        "_id", "fp", F.col("first")["id"].alias("component_id"), (F.col("_row") == F.col("first")["row"]).alias("first"),
+        "_id", "node", F.col("first")["id"].alias("component_id"), (F.col("_row") == F.col("first")["row"]).alias("first"),
         *keep)
 
 
 def query(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select(
-        F.col("_id").alias("doc_id"), F.lower(F.hex(F.reverse(F.col("fp")))).alias("fingerprint"), "component_id")
+        F.col("_id").alias("doc_id"), F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicated(docs: DataFrame, similarity: float = 0.8, size: int = 5, bits: int = 256) -> DataFrame:
