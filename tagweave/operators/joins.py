@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import AtomicType, BinaryType, StringType
 
 
 @dataclass(frozen=True)
@@ -30,17 +30,35 @@ NEVER_BROADCAST = Bound(rows=-1)
 SALTS = 8
 
 
+def _width(name: str, kind) -> Column:
+    """Bytes of a value: text and binary by length, nested values as JSON text, others 8."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    if isinstance(kind, AtomicType):
+        return F.lit(8)
+    return F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{name}`")))), F.lit(0))
+
+
 def size_columns(df: DataFrame) -> list[Column]:
     """Aggregates `_rows` and `_bytes` measuring a frame without collecting it."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    width = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(F.col(name)), F.lit(0)) for name in texts],
-        F.lit(0).cast("bigint"),
-    )
+    width = reduce(lambda a, b: a + b, [_width(f.name, f.dataType) for f in df.schema.fields],
+                   F.lit(0).cast("bigint"))
     return [F.count(F.lit(1)).alias("_rows"), F.coalesce(F.sum(width), F.lit(0)).alias("_bytes")]
 
 
+def _salt(fact: DataFrame, on: list[str]) -> Column:
+    """One of SALTS for each row, from all it can be told apart by; maps have no hash.
+
+    A row with a null key meets nothing and gets a value of its own, so that such rows
+    don't gather in a few tasks.
+    """
+    plain = [F.col(f"`{f.name}`") for f in fact.schema.fields
+             if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    value = F.xxhash64(*plain)
+    lost = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in on])
+    return F.when(lost, value).otherwise(F.pmod(value, F.lit(SALTS)))
+
+
 def fits(df: DataFrame, bound: Bound = DEFAULT_BOUND) -> bool:
     size = df.agg(*size_columns(df)).first()
     return bound.holds(size["_rows"], size["_bytes"])
@@ -64,8 +82,7 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: list[str], how: str, sma
         keys = list(on)
         left = fact.alias("f")
     else:
-        salt = F.pmod(F.xxhash64(*fact.columns), F.lit(SALTS))
-        left = fact.withColumn("_salt", salt).alias("f")
+        left = fact.withColumn("_salt", _salt(fact, on)).alias("f")
         every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
         right = lookup.withColumn("_salt", every).alias("l").hint("merge")
         keys = [*on, "_salt"]

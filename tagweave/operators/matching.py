@@ -16,7 +16,19 @@ def _comparable(df: DataFrame, attribute: Column) -> str:
     kind = df.select(attribute.alias("a")).schema["a"].dataType
     if isinstance(kind, IntegralType):
         return "bigint"
-    return "double" if isinstance(kind, (FractionalType, DecimalType)) else "string"
+    if isinstance(kind, DecimalType):
+        return kind.simpleString()
+    return "double" if isinstance(kind, FractionalType) else "string"
+
+
+def _code(rule: Column, kind: str) -> Column:
+    """The rule text as a value of the type; null where it is none, or a decimal of more digits."""
+    value = rule.try_cast(kind)
+    if not kind.startswith("decimal"):
+        return value
+    precision, scale = (int(x) for x in kind[8:-1].split(","))
+    whole = rule.try_cast(f"decimal(38,{38 - precision + scale})")
+    return F.when(value == whole, value)
 
 
 def attach_equal(df: DataFrame, attribute: Column, rules: DataFrame, tag: str, how: str = "left",
@@ -28,7 +40,7 @@ def attach_equal(df: DataFrame, attribute: Column, rules: DataFrame, tag: str, h
     made it already.
     """
     kind = _comparable(df, attribute)
-    lookup = rules.select(F.col("rule").try_cast(kind).alias("_code"), F.col("id").cast("string").alias(tag))
+    lookup = rules.select(_code(F.col("rule"), kind).alias("_code"), F.col("id").cast("string").alias(tag))
     if small is None:
         small = fits(lookup, bound)
     coded = df.withColumn("_code", attribute.cast(kind))

@@ -2,7 +2,8 @@
 
 Rules: no new tag keeps the stored set; no stored set takes the new one; else the
 stored tags of the same category go out and the new ones come in. Sets are sorted
-comma text. `userId` is unique in both frames.
+comma text. Several rows of a user are one set before anything else, on either side
+and on every path; rows without a user are left out.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,10 +14,21 @@ from tagweave.operators.joins import DEFAULT_BOUND, Bound, fits, lookup_join
 
 def collapse(new: DataFrame) -> DataFrame:
     """Several tag rows of one user to one sorted set; users without a tag keep null."""
-    tags = F.collect_set("tagsId")
+    tags = F.array_distinct(F.flatten(F.collect_set(tag_sets.to_set(F.col("tagsId")))))
     return new.groupBy("userId").agg(tags.alias("_tags")).select("userId", tag_sets.filled(F.col("_tags")).alias("tagsId"))
 
 
+def one_set(stored: DataFrame) -> DataFrame:
+    """As `collapse`, but the text of a user with a single row stays as it is."""
+    return stored.groupBy("userId").agg(stored_text(F.col("tagsId"), F.count("*")).alias("tagsId"))
+
+
+def stored_text(tags: Column, rows: Column) -> Column:
+    """Aggregate over the stored rows of a user."""
+    every = F.array_distinct(F.flatten(F.collect_set(tag_sets.to_set(tags))))
+    return F.when(rows == 1, F.max(tags)).otherwise(tag_sets.filled(every))
+
+
 def merged_column(new: Column, old: Column, category: Column | None, drop_stale: bool = False) -> Column:
     """One merged set from the comma texts `new`, `old` and the category's ids.
 
@@ -30,8 +42,12 @@ def merged_column(new: Column, old: Column, category: Column | None, drop_stale:
 
 
 def _stored_pair(new: DataFrame, stored: DataFrame) -> DataFrame:
-    old = stored.select(F.col("userId").alias("_user"), F.col("tagsId").alias("_old"))
-    return new.join(old, F.col("userId") == F.col("_user"), "left").select("userId", "tagsId", "_old")
+    old = one_set(stored.where(F.col("userId").isNotNull())).select(F.col("userId").alias("_user"), F.col("tagsId").alias("_old"))
+    return _of_users(new).join(old, F.col("userId") == F.col("_user"), "left").select("userId", "tagsId", "_old")
+
+
+def _of_users(tags: DataFrame) -> DataFrame:
+    return collapse(tags.where(F.col("userId").isNotNull()))
 
 
 def merge_union(new: DataFrame, stored: DataFrame) -> DataFrame:
@@ -77,8 +93,8 @@ def merge_into_store(new: DataFrame, stored: DataFrame, category: list[str], dro
     Merge and upsert in one full outer join, so each side is evaluated once. A new
     user without a tag is left out; a stored user never disappears.
     """
-    old = stored.select(F.col("userId").alias("_user"), F.col("tagsId").alias("_old"))
-    fresh = new.select("userId", "tagsId")
+    old = one_set(stored.where(F.col("userId").isNotNull())).select(F.col("userId").alias("_user"), F.col("tagsId").alias("_old"))
+    fresh = _of_users(new)
     joined = old.join(fresh, F.col("_user") == F.col("userId"), "full_outer")
     merged = merged_column(F.col("tagsId"), F.col("_old"), F.lit(",".join(category)), drop_stale)
     tags = F.when(F.col("userId").isNull(), F.col("_old")).otherwise(merged)

@@ -18,6 +18,12 @@ def access_per_ip(lines: DataFrame) -> DataFrame:
     """
     unknown = F.col("access_time").isNull().alias("unknown")
     first = F.min(F.struct(unknown, "access_time", "code", "useragent"))
+    if not lines.isStreaming:
+        # Counts and times fit a hash aggregate, a struct does not: only the few kinds of
+        # line of an address are sorted. A stream has one aggregate, over one micro-batch.
+        kinds = lines.groupBy("ip", "code", "useragent").agg(
+            F.count("ip").alias("n"), F.min("access_time").alias("access_time"))
+        return kinds.groupBy("ip").agg(F.sum("n").alias("pv"), F.lit(1).alias("uv"), first.alias("first"))
     return lines.groupBy("ip").agg(F.count("ip").alias("pv"), F.lit(1).alias("uv"), first.alias("first"))
 
 

@@ -4,8 +4,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def days_since(seconds: Column, as_of: Column) -> Column:
-    """Whole days from the day of an epoch second to `as_of`."""
-    return F.datediff(as_of, F.to_date(F.from_unixtime(seconds, "yyyy-MM-dd")))
+    """Whole days from the UTC day of an epoch second to `as_of`, in any session zone."""
+    second = seconds.cast("bigint")
+    day = (second - F.pmod(second, F.lit(86_400))) / 86_400
+    return F.datediff(as_of, F.date_from_unix_date(day.cast("int")))
 
 
 def recency_days(df: DataFrame, key: str, seconds: str, as_of: str) -> DataFrame:

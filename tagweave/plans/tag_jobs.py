@@ -9,7 +9,7 @@ from tagweave.functions import tag_sets, text
 from tagweave.operators import rules as rule_ops
 from tagweave.operators.joins import lookup_join
 from tagweave.operators.matching import attach_equal, attach_range
-from tagweave.operators.merging import collapse, merge_into_store, merge_tags
+from tagweave.operators.merging import collapse, merge_into_store, merge_tags, stored_text
 from tagweave.operators.rules import RuleTree
 from tagweave.operators.statistics import nth_most_frequent, recency_and_favourite, recency_days
 from tagweave.sources.spec import SourceSpec
@@ -33,6 +33,14 @@ class TagJob:
     how: str = "left"
     statistic: str | None = None
 
+    def __post_init__(self):
+        if self.match not in (EQUAL, NUMBERS, DATES):
+            raise ValueError(f"unknown match: {self.match}")
+        if self.statistic not in (None, RECENCY, FAVOURITE):
+            raise ValueError(f"unknown statistic: {self.statistic}")
+        if self.how not in ("left", "inner"):
+            raise ValueError(f"unknown way of joining: {self.how}")
+
     @property
     def attribute(self) -> str:
         """Column the rules are matched against, after the statistic."""
@@ -63,6 +71,10 @@ class RunOptions:
     rank: int = 1
     drop_stale: bool = False
 
+    def __post_init__(self):
+        if self.rank < 1:
+            raise ValueError("rank counts from 1")
+
     def day(self) -> str:
         if self.as_of is None:
             raise ValueError("as_of is required for recency tags")
@@ -103,9 +115,9 @@ def compute(job: TagJob, source: DataFrame, tree: RuleTree, options: RunOptions
 def run_job(job: TagJob, tree: RuleTree, read: Reader, stored: DataFrame | None,
             options: RunOptions = RunOptions()) -> DataFrame:
     """One job up to the merged tags of the users it saw; no store means no merge."""
-    new = collapse(compute(job, read(tree.source_spec(job.tag_id)), tree, options))
+    new = compute(job, read(tree.source_spec(job.tag_id)), tree, options)
     if stored is None:
-        return new
+        return collapse(new)
     category = tree.tag_ids(job.tag_id) if tree.small else tree.children(job.tag_id)
     return merge_tags(new, stored, category, options.drop_stale, tree.bound)
 
@@ -117,6 +129,9 @@ def run_jobs_in_turn(jobs: list[TagJob], tree: RuleTree, read: Reader, stored: D
     Shuffles the store once per job; `run_jobs` gives the same rows with one shuffle.
     """
     for job in jobs:
+        if not tree.small:
+            stored = run_jobs([job], tree, read, stored, options)
+            continue
         new = collapse(compute(job, read(tree.source_spec(job.tag_id)), tree, options))
         stored = merge_into_store(new, stored, tree.tag_ids(job.tag_id), options.drop_stale)
     return stored
@@ -166,10 +181,11 @@ def run_jobs(jobs: list[TagJob], tree: RuleTree, read: Reader, stored: DataFrame
             touched.alias("touched"), F.lit(None).cast("string").alias("old"), F.lit(False).alias("kept")))
 
     # Sets, not lists: copies of a user's rows collapse on the map side already.
-    per_user = rows.groupBy("userId").agg(
+    per_user = rows.where(F.col("userId").isNotNull()).groupBy("userId").agg(
         F.array_distinct(F.flatten(F.collect_set("found"))).alias("found"),
         F.array_distinct(F.flatten(F.collect_set("touched"))).alias("touched"),
-        F.max("old").alias("old"), F.max("kept").alias("kept"))
+        stored_text(F.col("old"), F.sum(F.col("kept").cast("int"))).alias("old"),
+        F.max("kept").alias("kept"))
     per_user = per_user.where(F.col("kept") | (F.size("found") > 0))
     with_others = _drop_touched(per_user, jobs, tree)
     merged = with_others.withColumn("merged", F.concat("found", F.coalesce("others", texts)))

@@ -34,18 +34,6 @@ def scan(spark: SparkSession, spec: SourceSpec, **options) -> DataFrame:
     return spark.read.format(kind).options(**options).load(path).select(*spec.fields)
 
 
-def spread(df: DataFrame, splits_of: DataFrame | None = None) -> DataFrame:
-    """Use every core on a scan of fewer splits than cores, before costly expressions.
-
-    A small file with one row group is one task however heavy its parsing. Inputs
-    with enough splits, the usual case, pass unchanged and are not shuffled. A stream
-    has no splits before it starts; `splits_of` is the batch frame on the same files.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    measured = df if splits_of is None else splits_of
-    return df.repartition(cores) if measured.rdd.getNumPartitions() < cores else df
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
               partition_column: str | None = None, num_partitions: int = 32) -> DataFrame:
     """A database table; with a numeric `partition_column` it is read in parallel.

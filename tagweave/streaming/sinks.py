@@ -55,13 +55,15 @@ def batch_sinks(df: DataFrame, sinks: list[BatchSink], checkpoint: str, mode: st
 
 
 def versioned_sink(path: str, keep: int = 2) -> BatchSink:
-    """Each batch result as the version of its number; see `VersionedTable`.
+    """Each batch result as the next version; see `VersionedTable`.
 
-    A complete result supersedes the one before, so only the newest `keep` stay.
+    A complete result supersedes the one before, so only the newest `keep` stay. The
+    newest is the one committed last: batch numbers begin anew with a new checkpoint,
+    and a repeated batch commits the same state again.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         table = VersionedTable(batch.sparkSession, path)
-        table.write(batch, batch_id)
+        table.write(batch)
         table.expire(keep)
 
     return write

@@ -67,9 +67,9 @@ def test_lookup_join_with_hot_and_null_keys(spark, small, how):
 
 def test_size_check(spark):
     df = spark.createDataFrame([("abc", 1)] * 10, "s string, n int")
-    assert fits(df, Bound(rows=10, text_bytes=30))
-    assert not fits(df, Bound(rows=9, text_bytes=30))
-    assert not fits(df, Bound(rows=10, text_bytes=29))
+    assert fits(df, Bound(rows=10, text_bytes=110))
+    assert not fits(df, Bound(rows=9, text_bytes=110))
+    assert not fits(df, Bound(rows=10, text_bytes=109))
     assert fits(df.where(F.lit(False)), Bound(rows=0, text_bytes=0))
 
 
@@ -84,3 +84,18 @@ def test_attribute_type_decides_the_comparison(spark, data, kind, expected):
     for bound in BOUNDS:
         got = attach_equal(df, F.col("v"), rules, "tag", "left", bound).collect()
         assert sorted([(str(r["v"]), r["tag"]) for r in got], key=str) == expected
+
+
+def test_size_check_sees_every_column(spark):
+    df = spark.range(5).selectExpr("id", "array_repeat(id, 10000) AS a", "cast(repeat('x', 1000) AS binary) AS b",
+                                   "map(id, 'y') AS m")
+    assert not fits(df, Bound(rows=10, text_bytes=50_000)) and fits(df, Bound(rows=10, text_bytes=500_000))
+
+
+def test_map_columns_and_null_keys_join_either_way(spark):
+    fact = spark.sql("SELECT map('a', id) AS m, nullif(id % 4, 0) AS k FROM range(40)")
+    lookup = spark.sql("SELECT id AS k, id * 10 AS v FROM range(3)")
+    for how in ("inner", "left"):
+        small, large = ([(r["m"]["a"], r["k"], r["v"]) for r in lookup_join(fact, lookup, ["k"], how, flag).collect()]
+                        for flag in (True, False))
+        assert sorted(small, key=str) == sorted(large, key=str) and len(small) == (20 if how == "inner" else 40)

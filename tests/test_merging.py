@@ -91,3 +91,35 @@ def test_plain_table_refuses_row_level_merge(spark):
             upsert_table(spark.createDataFrame([(1, "b")], PAIR), name, "userId")
     finally:
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_repeated_and_null_users_merge_alike_on_both_sides_of_the_bound(spark):
+    new = spark.createDataFrame([(1, "25"), (1, "26"), (None, "25"), (2, None)], PAIR)
+    stored = spark.createDataFrame([(1, "8"), (2, "24,9"), (2, "10"), (None, "7")], PAIR)
+    category = spark.createDataFrame([("24",), ("25",), ("26",)], "id string")
+    for stale in (False, True):
+        small, large = (pairs(merging.merge_tags(new, stored, category, stale, bound))
+                        for bound in (DEFAULT_BOUND, NEVER_BROADCAST))
+        assert small == large == {1: "25,26,8", 2: "10,9" if stale else "10,24,9"}
+
+
+def test_failed_repeat_and_expiry_leave_readers_alone(spark):
+    store = VersionedTable(spark, scratch_path(spark, "store"))
+    for n in range(4):
+        store.write(spark.range(n + 1))
+    held = store.read()
+    store.write(spark.range(9))
+    store.expire(1)
+    assert store.versions() == [4] and held.count() == 4 and store.read().count() == 9
+    store.expire(1, grace=-1)
+    assert store.read().count() == 9
+
+
+def test_of_two_writers_of_one_version_one_fails(spark):
+    store = VersionedTable(spark, scratch_path(spark, "store"))
+    first = VersionedTable(spark, store.path)
+    store._markers = lambda: []
+    first.write(spark.range(1))
+    with pytest.raises(Exception):
+        store.write(spark.range(2))
+    assert first.read().count() == 1

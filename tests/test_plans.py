@@ -56,3 +56,12 @@ def test_columns_and_filters_reach_the_scan(spark, sf_dir):
 def test_json_is_parsed_once_for_the_used_fields(spark, sf_dir):
     text = plan(spark, sf_dir, "behaviour_counts")
     assert "get_json_object" not in text and "goods_name" not in text and text.count("from_json(") == 1
+
+
+def test_access_lines_are_counted_by_a_hash_aggregate(spark, sf_dir):
+    from tagweave.operators.metrics import access_per_ip
+
+    lines = spark.createDataFrame([], "ip string, code string, useragent string, access_time timestamp")
+    plan = access_per_ip(lines)._jdf.queryExecution().sparkPlan().toString()
+    lowest = [line.strip(" +-:") for line in plan.splitlines() if "Aggregate" in line][-1]
+    assert lowest.startswith("HashAggregate")

@@ -67,3 +67,16 @@ def test_map_to_entity_drops_unowned_rows(spark):
     owners = spark.createDataFrame([("o1", 7), ("o2", 8)], "ordersn string, memberid int")
     got = {tuple(r) for r in statistics.map_to_entity(goods, owners, "sn", "ordersn", "memberid").collect()}
     assert got == {(7, "o1", "x"), (7, "o1", "y")}
+
+
+def test_days_do_not_depend_on_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([(1, 1665619200 - 1), (2, 1665619200), (3, -1)], "k int, s bigint")
+    try:
+        found = []
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            found.append(sorted(map(tuple, statistics.recency_days(df, "k", "s", "2022-10-20").collect())))
+        assert found == [[(1, 8), (2, 7), (3, 19286)]] * 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -109,7 +109,7 @@ def test_literal_rule_sets(spark):
 
     assert run(7, [(1, 3), (2, 9)], "id bigint, job int") == [(1, "10"), (2, None)]
     assert run(4, [(1, "1"), (2, "3"), (3, None)], "id bigint, gender string") == [(1, "5")]
-    assert run(14, [(1, "1992-05-31"), (2, "1983-10-11"), (3, "1970-11-22"), (4, "no date"), (5, "1949-12-31")],
+    assert run(14, [(1, "1993-07-12"), (2, "1985-02-03"), (3, "1974-09-08"), (4, "no date"), (5, "1949-12-31")],
                "id bigint, birthday string") == [(1, "19"), (2, "18"), (3, "17")]
     day = 1665619200  # 2022-10-13
     got = run(23, [(1, day), (1, day - 86400 * 40), (2, day - 86400 * 10**4), (3, day + 86400)],
@@ -118,3 +118,19 @@ def test_literal_rule_sets(spark):
     pay = [(1, "alipay"), (1, "alipay"), (1, "cod"), (2, "cod"), (2, "alipay"), (3, "cash")]
     assert run(30, pay, "memberid bigint, paymentcode string") == [(1, "31"), (2, "31"), (3, None)]
     assert run(62, [(1, 2)], "id bigint, politicalface int") == [(1, "64")]
+
+
+def test_unknown_kinds_are_refused():
+    for wrong in ({"match": "equals"}, {"statistic": "favorite"}, {"how": "outer"}):
+        with pytest.raises(ValueError):
+            tag_jobs.TagJob(4, "x", "id", "gender", **wrong)
+    with pytest.raises(ValueError):
+        RunOptions(rank=0)
+
+
+def test_decimals_match_exactly(spark):
+    rules = spark.createDataFrame([(1, "9007199254740992"), (2, "1.5"), (3, "12")], "id int, rule string")
+    df = spark.sql("SELECT id, cast(text AS decimal(20,0)) AS d FROM VALUES (1, '9007199254740993'), (2, '2'), (3, '12') AS t(id, text)")
+    from tagweave.operators.matching import tag_equal
+
+    assert sorted(map(tuple, tag_equal(df, "id", "d", rules).collect())) == [(1, None), (2, None), (3, "3")]

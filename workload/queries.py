@@ -12,7 +12,7 @@ from tagweave.operators.joins import NEVER_BROADCAST
 from tagweave.operators.upsert import upsert
 from tagweave.plans import tag_jobs
 from tagweave.session import scratch_path
-from tagweave.sources.scans import scan, spread
+from tagweave.sources.scans import scan
 from tagweave.sources.spec import SourceSpec, decode_columns
 from tagweave.sources.store import VersionedTable
 from tagweave.streaming import jobs as stream_jobs
@@ -248,12 +248,12 @@ def tag_merge_union(spark, sf_dir):
 
 # Access log
 
-# The columns records are made of. Making and parsing them is heavy, so all cores take part.
+# The columns records are made of.
 EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type")
 
 
 def _events(spark, sf_dir):
-    return spread(tables.load(spark, sf_dir, "events").select(*EVENT_COLUMNS))
+    return tables.load(spark, sf_dir, "events").select(*EVENT_COLUMNS)
 
 
 def _lines(spark, sf_dir):
@@ -332,8 +332,7 @@ def behaviour_counts(spark, sf_dir):
 # Streams over the same table
 
 def _event_stream(spark, sf_dir):
-    batch = tables.load(spark, sf_dir, "events")
-    return spread(table_stream(spark, sf_dir, "events").select(*EVENT_COLUMNS), splits_of=batch)
+    return table_stream(spark, sf_dir, "events").select(*EVENT_COLUMNS)
 
 
 @query
