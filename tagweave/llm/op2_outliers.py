@@ -222,12 +222,13 @@ def judged(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     Null or empty text: no words, base_failed. Null language or source: a group of its own. Repeated documents count
     as often as they occur. Empty table: no rows. Other columns are not read, but for those named in `keep`.
     """
-    found = written(vectors(stats(docs, keep)), "quality-stats")
+    found = written(vectors(stats(docs)), "quality-stats")
     sound = found.where(~F.col("base_failed"))
     groups = written(fit_groups(sound), "quality-groups")
     rows = sound.select("_group", *FEATURES).join(groups.where("fit_group IS NOT NULL"), "_group").drop("_group")
     params = estimates(written(rows, "quality-sound"))
-    scored = (found.join(groups, "_group", "left").join(params.drop("start", "n", "logdet"), "fit_group", "left")
+    # Columns to keep may hold whole texts: these are scanned once more rather than written once more.
+    scored = ((vectors(stats(docs, keep)) if keep else found).join(groups, "_group", "left").join(params.drop("start", "n", "logdet"), "fit_group", "left")
               .withColumn("distance2", distance()))
     cutoff = chi2(TAIL, len(FEATURES))
     kept = ~F.col("base_failed") & (F.coalesce(F.col("distance2"), F.lit(0.0)) <= cutoff)

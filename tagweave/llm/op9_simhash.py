@@ -102,12 +102,13 @@ def exact_tables(bits: int, radius: int, rows: int) -> np.ndarray:
                   for chosen in combinations(range(blocks), blocks - radius)], bits)
 
 
-def sampled_tables(bits: int, radius: int, rows: int, miss: float = 0.01) -> np.ndarray:
+def sampled_tables(bits: int, radius: int, rows: int, miss: float = 0.1) -> np.ndarray:
     """Masks of random bits; two fingerprints at the radius agree on none of them with probability `miss` at most.
 
-    Bits per mask grow with the rows, and the number of masks with these.
+    Bits per mask grow with the rows, and the number of masks with these. Closer pairs are missed far more rarely: with
+    256 bits and radius 38, one at 27 bits with a chance of a few thousandths.
     """
-    width = max(12, int(np.ceil(np.log2(max(rows, 1)))))
+    width = max(12, int(np.ceil(np.log2(max(rows, 1)))) + 1)
     agree = np.prod([(bits - radius - i) / (bits - i) for i in range(width)])
     count = int(np.ceil(np.log(miss) / np.log1p(-agree)))
     chosen = np.random.default_rng(7)
@@ -170,14 +171,15 @@ def links(distinct: DataFrame, bits: int, radius: int, tables: np.ndarray) -> Da
                 own = np.full(len(fps), i + 1, dtype=np.uint64)
                 for k in range(fps.shape[1]):
                     own = mix(own * np.uint64(3) + (fps[:, k] & mask[k]))
-                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), batch.column("node"),
-                                                  batch.column("fp")], names=["key", "node", "fp"])
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), batch.column("node")],
+                                                 names=["key", "node"])
 
-    rows = written(distinct.select("node", "fp").mapInArrow(keyed, "key long, node long, fp binary"), "simhash-keys")
+    rows = written(distinct.select("node", "fp").mapInArrow(keyed, "key long, node long"), "simhash-keys")
     crowded = rows.groupBy("key").count().where(F.col("count") > 1)
     crowded = written(crowded.withColumn("chunks", F.ceil(F.col("count") / CELL).cast("int")).drop("count"),
                       "simhash-buckets")
-    both = rows.join(crowded, "key")
+    # Most keys are met once; only the others need the fingerprints.
+    both = rows.join(crowded, "key").join(distinct.select("node", "fp"), "node")
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     both = (both.withColumn("chunk", own).withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
             .select("node", "fp", F.when(F.col("chunks") > 1, F.col("chunk")).otherwise(-1).alias("chunk"),
