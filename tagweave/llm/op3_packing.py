@@ -12,10 +12,9 @@ import bisect
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.tables import running, written
+from tagweave.llm.tables import blocks, running, written
 
 DIGITS = 13
-BLOCK_ROWS = 20_000
 LEAF = 256
 
 
@@ -94,10 +93,6 @@ def into_bins(counts: list[tuple[int, int]], n_bins: int) -> list[tuple[int, int
     return own + [(s, a + shift.get(s, 0), b + shift.get(s, 0), n_bins - left + number) for s, a, b, number in best]
 
 
-def blocks(rows: int) -> int:
-    return max(1, rows // BLOCK_ROWS)
-
-
 def packed(docs: DataFrame, n_shards: int | None = 8, capacity: int | None = None, text: str = "text",
            keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot of each row, equal texts in one shard.

@@ -8,12 +8,11 @@ whole; of the rest, documents in seeded order are taken once more until the targ
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagweave.llm.tables import WORD, put_back, running, set_aside, written
+from tagweave.llm.tables import WORD, blocks, put_back, running, set_aside, written
 
 SEED = "mix-1"
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
-BLOCK_ROWS = 20_000
 
 
 def targets(sizes: DataFrame, weight: Column, budget: Column, epochs: float = EPOCHS) -> DataFrame:
@@ -65,10 +64,10 @@ def mixed(docs: DataFrame, seed: str = SEED) -> DataFrame:
     goal = written(goal.select(F.col("source").alias("_source"), "source_size", "target", whole.cast("long").alias("whole"),
                                F.row_number().over(Window.orderBy("target", "source_size", "source")).alias("_no")),
                    "mix-targets")
-    blocks = max(1, rows.count() // BLOCK_ROWS)
+    n_blocks = blocks(rows.count())
     known = (rows.join(goal, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
              .withColumn("seeded", seeded(seed))
-             .withColumn("block", F.floor(F.conv(F.substring("seeded", 1, 8), 16, 10).cast("long") * blocks
+             .withColumn("block", F.floor(F.conv(F.substring("seeded", 1, 8), 16, 10).cast("long") * n_blocks
                                           / F.lit(1 << 32)).cast("int")))
     before = running(known, ["_no"], "block", [F.col("seeded"), F.col("doc_id"), F.col("size")], F.col("size"), "before")
     rest = F.col("target") - F.col("whole") * F.col("source_size")

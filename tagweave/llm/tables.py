@@ -1,5 +1,7 @@
 """Inputs of the operators, tables in the shared folder, and gapless numbering in many tasks."""
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ def remainder(column: str, of: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % of
 
 
+def blocks(rows: int) -> int:
+    """Blocks for `running`: as many as a block has rows, so that neither level gathers more than the root of all."""
+    return max(1, math.isqrt(rows))
+
+
 def running(df: DataFrame, by: list[str], block: str, order: list[Column], amount: Column, name: str) -> DataFrame:
     """Adds the sum of `amount` over the earlier rows of the same `by`, in order of `block`, then of `order`.
 
