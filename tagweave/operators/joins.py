@@ -28,6 +28,7 @@ class Bound:
 DEFAULT_BOUND = Bound()
 NEVER_BROADCAST = Bound(rows=-1)
 SALTS = 8
+CROWD = 64
 
 
 def _width(name: str, kind) -> Column:
@@ -92,10 +93,24 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: list[str], how: str, sma
     return left.join(right, condition, how).select(*[f"f.{c}" for c in keep], *[f"l.{c}" for c in payload])
 
 
-def _average_width(ranges: DataFrame) -> float:
-    """Mean length of ranges already known to be few, without an aggregate job."""
-    lengths = [row["hi"] - row["lo"] + 1 for row in ranges.select("lo", "hi").collect()]
-    return sum(lengths) / len(lengths) if lengths else 1
+def _width_classes(ranges: DataFrame, bound: Bound) -> list[tuple[int, int, bool]]:
+    """(lowest level, highest level, whether its buckets may be broadcast) of each width class.
+
+    The level of a range is the power of two its length fits in. A class of up to CROWD
+    ranges joins the next wider one: so few never crowd a bucket.
+    """
+    levels = ranges.groupBy(_level().alias("_level")).agg(*size_columns(ranges)).collect()
+    classes: list[list[int]] = []
+    for row in sorted(levels, key=lambda r: r["_level"]):
+        if classes and classes[-1][2] <= CROWD:
+            classes[-1][1:] = [row["_level"], classes[-1][2] + row["_rows"], classes[-1][3] + row["_bytes"]]
+        else:
+            classes.append([row["_level"], row["_level"], row["_rows"], row["_bytes"]])
+    return [(low, high, bound.holds(2 * rows, 2 * size)) for low, high, rows, size in classes]
+
+
+def _level() -> Column:
+    return F.least(F.length(F.bin(F.expr("hi - lo"))), F.lit(62))
 
 
 def range_join(fact: DataFrame, value: str, ranges: DataFrame, how: str = "inner",
@@ -103,26 +118,38 @@ def range_join(fact: DataFrame, value: str, ranges: DataFrame, how: str = "inner
                keep: list[str] | None = None) -> DataFrame:
     """Rows of `ranges` (lo, hi, payload..) whose closed range holds `fact[value]`.
 
-    The axis is cut into buckets as wide as the average range, so the ranges fill
-    at most three buckets each on average, however their lengths are spread. Value
-    and range then meet through an equi-join on the bucket instead of a nested
-    loop. Ranges with a null or reversed bound match nothing; a null value matches
-    nothing. `small=True` is given where the caller has checked the size already.
+    Ranges are put into width classes, each cut into buckets as wide as its widest, so
+    a range fills at most two buckets, and one wide range does not crowd many narrow
+    ones together. Value and range then meet through one equi-join on the bucket for
+    each class instead of a nested loop. With several classes (63 at most) each join
+    brings the bucket's ranges as an array, so that the rows stay as they are until all
+    are found. Ranges with a null or reversed bound match nothing; a null value matches
+    nothing. `small=False` rules the broadcast out; it is measured otherwise.
     """
     ranges = ranges.where("lo <= hi")
-    if small:
-        average = _average_width(ranges)
-    else:
-        size = ranges.agg(*size_columns(ranges), F.avg(F.expr("hi - lo + 1D")).alias("width")).first()
-        average = size["width"] or 1
-        small = bound.holds(3 * size["_rows"], 3 * size["_bytes"])
-    width = max(1, round(average))
-
-    def bucket(name):
-        return F.expr(f"`{name}` div {width}L")
-
-    buckets = ranges.withColumn("_bucket", F.explode(F.sequence(bucket("lo"), bucket("hi"))))
     payload = [c for c in ranges.columns if c not in ("lo", "hi")]
-    inside = F.col(f"f.{value}").between(F.col("l.lo"), F.col("l.hi"))
-    return lookup_join(fact.withColumn("_bucket", bucket(value)), buckets, ["_bucket"], how, small, inside,
-                       keep or fact.columns, payload)
+    keep = keep or fact.columns
+    classes = _width_classes(ranges, bound) or [(0, 62, True)]
+
+    def bucket(name, level):
+        return F.expr(f"`{name}` div {1 << level}L")
+
+    def buckets(low, high):
+        own = ranges.where(_level().between(low, high)) if len(classes) > 1 else ranges
+        return own.withColumn("_bucket", F.explode(F.sequence(bucket("lo", high), bucket("hi", high))))
+
+    if len(classes) == 1:
+        low, high, fit = classes[0]
+        inside = F.col(f"f.{value}").between(F.col("l.lo"), F.col("l.hi"))
+        return lookup_join(fact.withColumn("_bucket", bucket(value, high)), buckets(low, high), ["_bucket"], how,
+                           fit and small is not False, inside, keep, payload)
+    found = []
+    for low, high, fit in classes:
+        found.append(f"_found_{high}")
+        held = buckets(low, high).groupBy("_bucket").agg(F.collect_list(F.struct("lo", "hi", *payload)).alias(found[-1]))
+        fact = lookup_join(fact.withColumn("_bucket", bucket(value, high)), held, ["_bucket"], "left",
+                           fit and small is not False, keep=fact.columns)
+    near = F.flatten(F.array_compact(F.array(*found)))
+    inside = F.filter(near, lambda r: F.col(value).between(r["lo"], r["hi"]))
+    each = (F.explode if how == "inner" else F.explode_outer)(inside)
+    return fact.select(*keep, each.alias("_one")).select(*keep, *[F.col(f"_one.{c}") for c in payload])

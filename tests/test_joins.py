@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagweave.operators.matching import attach_equal
-from tagweave.operators.joins import DEFAULT_BOUND, NEVER_BROADCAST, Bound, fits, lookup_join, range_join
+from tagweave.operators.joins import (DEFAULT_BOUND, NEVER_BROADCAST, Bound, _width_classes, fits, lookup_join,
+                                      range_join)
 
 BOUNDS = [DEFAULT_BOUND, NEVER_BROADCAST]
 
@@ -51,6 +52,22 @@ def test_range_join_without_ranges(spark):
     assert range_join(fact, "v", none, "inner", small=True).count() == 0
 
 
+@pytest.mark.parametrize("bound", BOUNDS)
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_range_join_of_mixed_widths(spark, bound, how):
+    """Many single values, some wide ranges over them and one very wide range."""
+    dim = spark.sql("SELECT id * 5 AS lo, id * 5 AS hi, concat('one', id) AS name FROM range(20000) UNION ALL "
+                    "SELECT id * 100, id * 100 + 120, concat('some', id) FROM range(200) UNION ALL "
+                    "SELECT 90000, 9000000, 'wide'")
+    levels = _width_classes(dim, bound)
+    assert [(low, high) for low, high, _ in levels] == [(1, 1), (7, 7), (24, 24)]
+    values = [(i, v) for i, v in enumerate([0, 5, 7, 100, 110, 95000, 99995, 8999999, -5, None] * 3)]
+    ranges = [tuple(r) for r in dim.collect()]
+    fact = spark.createDataFrame(values, "key int, v bigint")
+    got = range_join(fact, "v", dim, how, bound).collect()
+    assert sorted([tuple(r) for r in got], key=str) == brute(values, ranges, how)
+
+
 @pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_lookup_join_with_hot_and_null_keys(spark, small, how):

@@ -83,6 +83,10 @@ ZONES = """areas AS (SELECT lo, lo + 2 AS hi, 'zone-' || owner AS area FROM (
   SELECT address - address % 4 AS lo, min(c_custkey) AS owner FROM (SELECT c_custkey,
     167772160 + c_custkey % 4 * 65536 + c_custkey // 256 % 256 * 256 + c_custkey % 256 AS address FROM customer)
   GROUP BY 1))"""
+MIXED = """areas AS (SELECT DISTINCT address - address % n AS lo, address - address % n + n - 1 AS hi,
+  'area-' || (address - address % n) AS area FROM (SELECT
+    167772160 + c_custkey % 4 * 65536 + c_custkey // 256 % 256 * 256 + c_custkey % 256 AS address,
+    CASE c_custkey % 4 WHEN 3 THEN 65536 WHEN 2 THEN 256 ELSE 1 END AS n FROM customer))"""
 NUMBERED = """numbered AS (SELECT *, CAST(split_part(ip, '.', 1) AS BIGINT) * 16777216
   + CAST(split_part(ip, '.', 2) AS BIGINT) * 65536 + CAST(split_part(ip, '.', 3) AS BIGINT) * 256
   + CAST(split_part(ip, '.', 4) AS BIGINT) AS number FROM parsed)"""
@@ -271,6 +275,10 @@ ORACLE = {
     "ip_area_join": _with(LINES, PARSED, NUMBERED, AREA_ROWS, """SELECT ip, sendbytes,
   coalesce(area, 'unknown') AS area FROM numbered LEFT JOIN areas ON number BETWEEN lo AND hi"""),
     "ip_area_join_shuffled": _with(LINES, PARSED, NUMBERED, ZONES, """SELECT ip, sendbytes,
+  coalesce(area, 'unknown') AS area FROM numbered LEFT JOIN areas ON number BETWEEN lo AND hi"""),
+    "ip_area_mixed_widths": _with(LINES, PARSED, NUMBERED, MIXED, """SELECT ip, sendbytes,
+  coalesce(area, 'unknown') AS area FROM numbered LEFT JOIN areas ON number BETWEEN lo AND hi"""),
+    "ip_area_mixed_widths_shuffled": _with(LINES, PARSED, NUMBERED, MIXED, """SELECT ip, sendbytes,
   coalesce(area, 'unknown') AS area FROM numbered LEFT JOIN areas ON number BETWEEN lo AND hi"""),
     "user_agent_classify": _with(LINES, PARSED, f"SELECT sendbytes, useragent, {_agent_columns('useragent')} FROM parsed"),
     "access_metrics": _with(LINES, PARSED, NUMBERED, AREA_ROWS, ACCESS),

@@ -284,6 +284,19 @@ def ip_area_join_shuffled(spark, sf_dir):
     return enrichment.add_area(parsed, tables.customer_ranges(spark, sf_dir), bound=NEVER_BROADCAST)
 
 
+@query
+def ip_area_mixed_widths(spark, sf_dir):
+    """Areas of one address, of 256 and of 65,536 in one dimension."""
+    parsed = access_log.parse_lines(_lines(spark, sf_dir)).select("ip", "sendbytes")
+    return enrichment.add_area(parsed, tables.mixed_ranges(spark, sf_dir))
+
+
+@query
+def ip_area_mixed_widths_shuffled(spark, sf_dir):
+    parsed = access_log.parse_lines(_lines(spark, sf_dir)).select("ip", "sendbytes")
+    return enrichment.add_area(parsed, tables.mixed_ranges(spark, sf_dir), bound=NEVER_BROADCAST)
+
+
 @query
 def user_agent_classify(spark, sf_dir):
     parsed = access_log.parse_lines(_lines(spark, sf_dir)).select("sendbytes", "useragent")

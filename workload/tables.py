@@ -212,3 +212,14 @@ def customer_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = customer.groupBy((address - address % 4).alias("lo")).agg(F.min("c_custkey").alias("owner"))
     zone = F.concat(F.lit("zone-"), F.col("owner").cast("string"))
     return blocks.select("lo", (F.col("lo") + 2).alias("hi"), zone.alias("area"))
+
+
+def mixed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Disjoint ranges of three widths from `customer`: 10.3/16 whole, 10.2 by /24, the rest by address."""
+    customer = load(spark, sf_dir, "customer")
+    address = F.expr("167772160L + c_custkey % 4 * 65536 + c_custkey div 256 % 256 * 256 + c_custkey % 256")
+    length = (F.when(F.col("c_custkey") % 4 == 3, 65536).when(F.col("c_custkey") % 4 == 2, 256).otherwise(1)
+              .cast("long"))
+    starts = customer.select((address - address % length).alias("lo"), length.alias("n")).distinct()
+    name = F.concat(F.lit("area-"), F.col("lo").cast("string"))
+    return starts.select("lo", (F.col("lo") + F.col("n") - 1).alias("hi"), name.alias("area"))
