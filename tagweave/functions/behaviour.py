@@ -16,6 +16,8 @@ NESTED_FIELDS = {
                      "page_keywords"),
 }
 FLAGS = NESTED_FIELDS["user_behavior"]
+# Where the parser leaves a text it cannot read.
+CORRUPT = "_corrupt_record"
 
 
 def _wanted(names, only) -> tuple:
@@ -45,6 +47,25 @@ def parse_events(events: DataFrame, only=None) -> DataFrame:
     return parsed.select(*leaves)
 
 
+def accepted_events(events: DataFrame, only=None) -> DataFrame:
+    """As `parse_events`, without the texts `rejected_events` gives and without null texts.
+
+    A generator keeps the check next to the one parse; a filter would parse once more.
+    """
+    parsed = F.from_json("value", f"{event_schema(only)}, {CORRUPT} string")
+    sound = F.filter(F.array(parsed), lambda e: e.isNotNull() & e[CORRUPT].isNull())
+    leaves = [F.col(f"e.{name}") for name in _wanted(TOP_FIELDS, only)]
+    leaves += [F.col(f"e.{outer}.{inner}")
+               for outer, names in NESTED_FIELDS.items() for inner in _wanted(names, only)]
+    return events.select(F.explode(sound).alias("e")).select(*leaves)
+
+
+def rejected_events(events: DataFrame) -> DataFrame:
+    """Texts that are no JSON object, or hold another kind of value where a nested object belongs."""
+    parsed = F.from_json("value", f"{event_schema()}, {CORRUPT} string")
+    return events.where(parsed[CORRUPT].isNotNull()).select("value")
+
+
 def parse_top_fields(events: DataFrame, *names: str) -> DataFrame:
     """Several top-level fields at once."""
     names = names or TOP_FIELDS

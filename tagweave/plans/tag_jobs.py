@@ -16,6 +16,7 @@ from tagweave.sources.spec import SourceSpec
 from tagweave.sources.store import VersionedTable
 
 Reader = Callable[[SourceSpec], DataFrame]
+Statistic = Callable[[DataFrame], DataFrame]
 
 # What a job matches: the rule text itself, a number range or a date range.
 EQUAL, NUMBERS, DATES = "equal", "numbers", "dates"
@@ -31,12 +32,13 @@ class TagJob:
     field: str
     match: str = EQUAL
     how: str = "left"
-    statistic: str | None = None
+    # One of the kinds above, or the caller's own: from the source to one row an entity with key and field.
+    statistic: str | Statistic | None = None
 
     def __post_init__(self):
         if self.match not in (EQUAL, NUMBERS, DATES):
             raise ValueError(f"unknown match: {self.match}")
-        if self.statistic not in (None, RECENCY, FAVOURITE):
+        if not callable(self.statistic) and self.statistic not in (None, RECENCY, FAVOURITE):
             raise ValueError(f"unknown statistic: {self.statistic}")
         if self.how not in ("left", "inner"):
             raise ValueError(f"unknown way of joining: {self.how}")
@@ -83,6 +85,8 @@ class RunOptions:
 
 def _statistics(source: DataFrame, jobs: list[TagJob], options: RunOptions) -> DataFrame:
     """One row per entity with the statistics of all given jobs on this source."""
+    if callable(jobs[0].statistic):
+        return jobs[0].statistic(source)
     by_kind = {job.statistic: job for job in jobs}
     recency, favourite = by_kind.get(RECENCY), by_kind.get(FAVOURITE)
     if recency and favourite:
@@ -145,7 +149,7 @@ def _source_groups(jobs: list[TagJob], tree: RuleTree, rank: int) -> list[tuple[
         source = (spec.in_type, spec.nodes, spec.index, job.key)
         if job.statistic is None:
             place = (*source, "rows")
-        elif rank == 1:
+        elif rank == 1 and not callable(job.statistic):
             place = (*source, "statistics")
             if any(member.statistic == job.statistic for member in groups.get(place, (spec, []))[1]):
                 place = (*source, job.tag_id)

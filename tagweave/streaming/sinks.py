@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tagweave.sources.scans import write_jdbc
-from tagweave.sources.store import VersionedTable
+from tagweave.sources.store import ChangeTable, VersionedTable
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -69,6 +69,11 @@ def versioned_sink(path: str, keep: int = 2) -> BatchSink:
     return write
 
 
+def keyed_sink(path: str, key: str, compact_after: int = 50) -> BatchSink:
+    """The changed rows of each batch as changes of a keyed table, for mode `update`; see `ChangeTable`."""
+    return lambda batch, batch_id: ChangeTable(batch.sparkSession, path, key, compact_after).change(batch)
+
+
 def jdbc_sink(url: str, table: str, properties: dict | None = None) -> BatchSink:
     """Replace a database table by each complete result."""
     return lambda batch, batch_id: write_jdbc(batch, url, table, properties)

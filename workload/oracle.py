@@ -2,6 +2,7 @@
 
 from tagweave.functions.access_log import LINE_PATTERN
 from tagweave.functions.behaviour import FLAGS, NESTED_FIELDS, TOP_FIELDS
+from tagweave.functions.user_agent import DEFAULT_RULES
 from workload import tables
 from workload.tables import AREAS, AS_OF, CATEGORY_RULES, SINCE
 
@@ -97,8 +98,7 @@ def _case(column: str, rules) -> str:
     return f"CASE {branches} ELSE 'Other' END"
 
 
-def _agent_columns(column: str) -> str:
-    rules = tables.AGENT_RULES
+def _agent_columns(column: str, rules=tables.AGENT_RULES) -> str:
     return (f"{_case(column, rules.os)} AS os, {_case(column, rules.device)} AS device, "
             f"{_case(column, rules.browser)} AS browser")
 
@@ -129,6 +129,49 @@ _counts = ", ".join(f"count(CASE WHEN TRY_CAST({f} AS INTEGER) = 1 THEN user_id
 BEHAVIOUR = f"SELECT user_id, {_counts} FROM flat GROUP BY user_id"
 
 
+_object = f"""to_json({{'phone_num': '07' || (user_id % 1000), 'system_id': 'till-' || (event_id % 9),
+  'user_name': 'name ' || (user_id % 501), 'user_id': CAST(user_id AS VARCHAR),
+  'visit_time': strftime(ts, '%Y-%m-%d %H:%M:%S'), 'goods_type': 'kind ' || (event_id % 13), 'minimum_price': event_id,
+  'area': {{'province': 'P' || (user_id % 7), 'city': 'C' || (user_id % 31), 'sp': 'S' || (user_id % 4)}},
+  'user_behavior': {{{_flags}}},
+  'goods_detail': {{'goods_name': 'goods ' || (event_id % 211),
+    'browse_page': 'https://shop.test/p?x=1&y=' || (event_id % 37),
+    'browse_time': strftime(ts, '%Y-%m-%d %H:%M:%S'), 'to_page': 'https://shop.test/q/' || (user_id % 19),
+    'to_time': strftime(ts, '%Y-%m-%d %H:%M:%S'), 'page_keywords': 'word ' || (event_id % 5)}}}})"""
+FULL_RECORDS = f"""records AS (SELECT CASE WHEN event_id % 89 = 0 THEN left(CAST({_object} AS VARCHAR), 25)
+  ELSE CAST({_object} AS VARCHAR) END AS value FROM events)"""
+
+
+def _list(tokens) -> str:
+    return "[" + ", ".join(_text(t) for t in tokens) + "]"
+
+
+AGENT_TEXTS = f"""agent_texts AS (SELECT event_id, 'Mozilla/5.0 (' || ({_list(tables.OS_TOKENS)})[event_id % {
+    len(tables.OS_TOKENS)} + 1] || '; ' || ({_list(tables.DEVICE_TOKENS)})[event_id // 12 % {
+    len(tables.DEVICE_TOKENS)} + 1] || ') ' || ({_list(tables.BROWSER_TOKENS)})[event_id // 108 % {
+    len(tables.BROWSER_TOKENS)} + 1] AS useragent FROM events)"""
+
+
+def _silhouette(rows: str, name: str) -> str:
+    """Members and silhouette (squared distances) of clusters `c` over rows (vec_id, c, v)."""
+    return f"""WITH points AS ({rows}),
+cells AS (SELECT vec_id, c, unnest(range(len(v))) AS dim, unnest(v) AS x FROM points),
+norms AS (SELECT vec_id, c, sum(x * x) AS norm FROM cells GROUP BY vec_id, c),
+sizes AS (SELECT c, count(*) AS n, sum(norm) AS norms FROM norms GROUP BY c),
+sums AS (SELECT c, dim, sum(x) AS y FROM cells GROUP BY c, dim),
+dots AS (SELECT p.vec_id, s.c, sum(p.x * s.y) AS dot FROM cells p JOIN sums s USING (dim) GROUP BY p.vec_id, s.c),
+means AS (SELECT d.vec_id, d.c AS other, p.c AS own, z.n, p.norm + z.norms / z.n - 2 * d.dot / z.n AS m
+  FROM dots d JOIN norms p USING (vec_id) JOIN sizes z ON z.c = d.c),
+ab AS (SELECT vec_id, max(n) FILTER (other = own) AS n,
+  max(m) FILTER (other = own) AS a, min(m) FILTER (other <> own) AS b FROM means GROUP BY vec_id),
+scores AS (SELECT CASE WHEN n = 1 THEN 0 ELSE (b - a * n / (n - 1)) / greatest(b, a * n / (n - 1)) END AS s FROM ab)
+SELECT {name}, count(*) AS members, (SELECT round(avg(s), 6) FROM scores) AS silhouette FROM points GROUP BY c"""
+
+
+PARITY = """SELECT vec_id, label % 2 AS c, list_transform(embedding, lambda x: CAST(x AS DOUBLE) + label % 2 * 10) AS v
+  FROM embeddings"""
+
+
 # Tag jobs
 
 def _equal(name: str, source: str, key: str, field: str, parent: int, how: str) -> str:
@@ -260,11 +303,24 @@ ORACLE = {
     "fn_strings": _with(USERS, """SELECT id, replace(birthday, '-', '') AS compact,
   split_part(birthday, '-', 1) AS year, split_part(birthday, '-', 2) AS month, CAST(NULL AS VARCHAR) AS absent
   FROM users"""),
-    "fn_tag_sets": _with(STORED, f"""SELECT userId,
+    "fn_tag_sets": _with(STORED.replace(" WHERE c_mktsegment <> 'MACHINERY'", ""), f"""SELECT userId,
   {_sorted("list_filter(string_split(tagsId, ','), lambda x: NOT list_contains(['25', '67'], x))")} AS "without",
   {_sorted("list_concat(['25', '67'], string_split(tagsId, ','))")} AS united
   FROM stored WHERE tagsId IS NOT NULL UNION ALL
   SELECT userId, NULL, NULL FROM stored WHERE tagsId IS NULL"""),
+    "user_agent_default_rules": _with(
+        AGENT_TEXTS, f"SELECT *, {_agent_columns('useragent', DEFAULT_RULES)} FROM agent_texts"),
+    "event_json_full": _with(FULL_RECORDS, FLAT.replace("FROM records", "FROM records WHERE json_valid(value)"),
+                             "SELECT * FROM flat"),
+    "event_json_rejects": _with(FULL_RECORDS, "SELECT value FROM records WHERE NOT json_valid(value)"),
+    "kmeans_assign": "SELECT vec_id, min(vec_id) OVER (PARTITION BY label % 2) AS cluster FROM embeddings",
+    "kmeans_quality": _silhouette(PARITY, "min(vec_id) AS cluster"),
+    "silhouette_given": _silhouette("SELECT vec_id, label AS c, CAST(embedding AS DOUBLE[]) AS v FROM embeddings",
+                                    "any_value(c) AS label"),
+    "tag_spend_band": _with(RULES, NUMBER_RANGES, STORED, """new AS (SELECT memberid AS userId,
+  CAST(r.id AS VARCHAR) AS tagsId FROM (SELECT o_custkey AS memberid, sum(CAST(floor(o_totalprice) AS BIGINT)) AS amount
+    FROM orders GROUP BY o_custkey) LEFT JOIN (SELECT * FROM number_ranges WHERE pid = 80) r
+    ON amount BETWEEN r.lo AND r.hi)""", _merge("new", 80)),
     "tag_merge": _with(*CYCLE_INPUT, _collapsed("new", "cycle_new"), _merge("new", 23)),
     "tag_merge_drop_stale": _with(USERS, RULES, STORED, _equal("new", "users", "id", "job", 7, "LEFT"),
                                   _merge("new", 7, drop_stale=True)),
@@ -327,5 +383,9 @@ for twin, original in {
     "stream_access_metrics": "access_metrics",
     "stream_behaviour_counts": "behaviour_counts",
     "tag_full_run_in_turn": "tag_full_run",
+    "tag_store_full_run": "tag_full_run",
+    "stream_access_update": "access_metrics",
+    "stream_behaviour_update": "behaviour_counts",
+    "stream_restart_new_checkpoint": "behaviour_counts",
 }.items():
     ORACLE[twin] = ORACLE[original]

@@ -14,10 +14,10 @@ from tagweave.plans import tag_jobs
 from tagweave.session import scratch_path
 from tagweave.sources.scans import scan
 from tagweave.sources.spec import SourceSpec, decode_columns
-from tagweave.sources.store import VersionedTable
+from tagweave.sources.store import ChangeTable, VersionedTable
 from tagweave.streaming import jobs as stream_jobs
-from tagweave.streaming.sinks import run_to_table, stream_sink, versioned_sink, batch_sinks
-from tagweave.streaming.sources import table_stream, values
+from tagweave.streaming.sinks import batch_sinks, keyed_sink, run_to_table, stream_sink, versioned_sink
+from tagweave.streaming.sources import stream_source, table_stream, values
 from workload import tables
 
 OPTIONS = tag_jobs.RunOptions(as_of=tables.AS_OF)
@@ -54,6 +54,17 @@ def tag_store_write(spark, sf_dir):
     return store.read()
 
 
+@query
+def tag_store_full_run(spark, sf_dir):
+    """All jobs through the store: run, commit, read back, run again."""
+    store = VersionedTable(spark, scratch_path(spark, "tags"))
+    store.write(tables.stored_tags(spark, sf_dir))
+    for _ in range(2):
+        tag_jobs.tag_store_run(list(tag_jobs.JOBS.values()), tables.rule_tree(spark),
+                               tables.source_reader(spark, sf_dir), store, OPTIONS)
+    return store.read()
+
+
 # Rules
 
 @query
@@ -204,7 +215,7 @@ def fn_strings(spark, sf_dir):
 @query
 def fn_tag_sets(spark, sf_dir):
     new, old = F.lit("25,67"), F.col("tagsId")
-    return tables.stored_tags(spark, sf_dir).select(
+    return tables.tag_texts(spark, sf_dir).select(
         "userId", tag_sets.without(old, new).alias("without"), tag_sets.union(new, old).alias("united"))
 
 
@@ -309,6 +320,12 @@ def user_agent_dictionary(spark, sf_dir):
     return enrichment.add_agent_by_dictionary(parsed, rules=tables.AGENT_RULES)
 
 
+@query
+def user_agent_default_rules(spark, sf_dir):
+    """The shipped rules, over agents for each of their patterns."""
+    return enrichment.add_agent(tables.agent_texts(_events(spark, sf_dir)))
+
+
 @query
 def access_metrics(spark, sf_dir):
     return stream_jobs.access_job(_lines(spark, sf_dir), tables.area_ranges(spark), tables.AGENT_RULES)
@@ -337,6 +354,16 @@ def event_json_paths(spark, sf_dir):
         is_buy="$.user_behavior.is_buy", goods_name="$.goods_detail.goods_name")
 
 
+@query
+def event_json_full(spark, sf_dir):
+    return behaviour.accepted_events(tables.full_records(_events(spark, sf_dir)))
+
+
+@query
+def event_json_rejects(spark, sf_dir):
+    return behaviour.rejected_events(tables.full_records(_events(spark, sf_dir)))
+
+
 @query
 def behaviour_counts(spark, sf_dir):
     return stream_jobs.behaviour_job(_records(spark, sf_dir))
@@ -363,6 +390,47 @@ def stream_behaviour_counts(spark, sf_dir):
     return run_to_table(stream_jobs.behaviour_job(records), scratch_path(spark, "behaviour"))
 
 
+def _batched_events(spark, sf_dir):
+    """The events in about three batches."""
+    tables.configure(spark)
+    path = tables.event_files(spark, sf_dir, EVENT_COLUMNS)
+    files = max(1, spark.sparkContext.defaultParallelism // 3)
+    return stream_source(spark, "parquet", path, spark.read.parquet(path).schema, maxFilesPerTrigger=files)
+
+
+def _updated(spark, metrics, key, label):
+    path = scratch_path(spark, label)
+    batch_sinks(metrics, [keyed_sink(f"{path}/table", key)], f"{path}/checkpoint", "update",
+                {"availableNow": True}).awaitTermination()
+    return ChangeTable(spark, f"{path}/table", key).read()
+
+
+@query
+def stream_access_update(spark, sf_dir):
+    """Only the addresses a batch changed are written."""
+    lines = tables.access_lines(_batched_events(spark, sf_dir))
+    metrics = stream_jobs.access_job(lines, tables.area_ranges(spark), tables.AGENT_RULES)
+    return _updated(spark, metrics, "ip", "access-update")
+
+
+@query
+def stream_behaviour_update(spark, sf_dir):
+    """Only the users a batch changed are written."""
+    records = tables.behaviour_records(_batched_events(spark, sf_dir))
+    return _updated(spark, stream_jobs.behaviour_job(records), "user_id", "behaviour-update")
+
+
+@query
+def stream_restart_new_checkpoint(spark, sf_dir):
+    """The same stream twice into one table; the second run starts with a new checkpoint."""
+    path = scratch_path(spark, "restart")
+    for attempt in ("first", "second"):
+        records = tables.behaviour_records(_batched_events(spark, sf_dir))
+        batch_sinks(stream_jobs.behaviour_job(records), [versioned_sink(f"{path}/table")], f"{path}/{attempt}",
+                    "complete", {"availableNow": True}).awaitTermination()
+    return VersionedTable(spark, f"{path}/table").read()
+
+
 @query
 def stream_append_sink(spark, sf_dir):
     """Projection only, appended to Parquet files."""
@@ -424,15 +492,35 @@ def index_to_string(spark, sf_dir):
     return features.restore_strings(indexed, "event_index", "restored").select("event_id", "restored")
 
 
+def _clustered(spark, sf_dir):
+    """Two clusters, each named by its smallest vector id."""
+    vectors = features.to_vectors(tables.parity_vectors(spark, sf_dir), "embedding")
+    return clustering.assign(clustering.fit_kmeans(vectors), vectors)
+
+
 @query
 def kmeans_assign(spark, sf_dir):
-    vectors = _vectors(spark, sf_dir)
-    return clustering.assign(clustering.fit_kmeans(vectors), vectors).select("vec_id", "prediction")
+    assigned = _clustered(spark, sf_dir)
+    names = assigned.groupBy("prediction").agg(F.min("vec_id").alias("cluster"))
+    return assigned.join(names, "prediction").select("vec_id", "cluster")
 
 
 @query
 def kmeans_quality(spark, sf_dir):
-    return clustering.quality(_vectors(spark, sf_dir))
+    assigned = _clustered(spark, sf_dir)
+    score = round(clustering.silhouette(assigned), 6)
+    return assigned.groupBy("prediction").agg(
+        F.min("vec_id").alias("cluster"), F.count("*").alias("members"), F.lit(score).alias("silhouette")).drop("prediction")
+
+
+@query
+def silhouette_given(spark, sf_dir):
+    """The given labels as clusters."""
+    vectors = tables.load(spark, sf_dir, "embeddings").select(
+        "embedding", F.col("label").cast("double").alias("prediction"))
+    score = round(clustering.silhouette(features.to_vectors(vectors, "embedding")), 6)
+    return vectors.groupBy(F.col("prediction").cast("int").alias("label")).agg(
+        F.count("*").alias("members"), F.lit(score).alias("silhouette"))
 
 
 @query
@@ -472,6 +560,20 @@ _job_query("tag_political", 62)
 _job_query("tag_marriage", 66)
 
 
+def total_amount(orders: DataFrame) -> DataFrame:
+    return orders.groupBy("memberid").agg(F.sum("amount").alias("amount"))
+
+
+SPEND_BAND = tag_jobs.TagJob(80, "spend band", "memberid", "amount", match=tag_jobs.NUMBERS, statistic=total_amount)
+
+
+@query
+def tag_spend_band(spark, sf_dir):
+    """A job with a statistic of the caller's own."""
+    return tag_jobs.run_job(SPEND_BAND, tables.rule_tree(spark), tables.source_reader(spark, sf_dir),
+                            tables.stored_tags(spark, sf_dir), OPTIONS)
+
+
 @query
 def tag_full_run(spark, sf_dir):
     """All seven jobs against the stored tags: the new content of the tag store."""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tagweave.functions.user_agent import AgentRules
 from tagweave.operators.enrichment import address_ranges
 from tagweave.operators.rules import RuleTree
-from tagweave.session import configure
+from tagweave.session import configure, scratch_path
 from tagweave.sources.spec import SourceSpec
 
 # The day after the last order at every scale.
@@ -30,6 +30,7 @@ CATEGORY_RULES = {
     30: [(31, "alipay"), (32, "wxpay"), (33, "chinapay"), (34, "kjtpay"), (35, "cod"), (36, "other")],
     62: [(63, "1"), (64, "2"), (65, "3")],
     66: [(67, "1"), (68, "2"), (69, "3")],
+    80: [(81, "0-500000"), (82, "500001-2000000"), (83, "2000001-900000000")],
 }
 CATEGORY_SOURCES = {
     4: ("users", "id,gender"),
@@ -39,6 +40,7 @@ CATEGORY_SOURCES = {
     30: ("pay_orders", "memberid,paymentcode"),
     62: ("users", "id,politicalface"),
     66: ("users", "id,marriage"),
+    80: ("order_amounts", "memberid,amount"),
 }
 AREAS = [("10.0.0.0", "10.0.255.255", "north"), ("10.1.0.0", "10.1.255.255", "east"),
          ("10.2.0.0", "10.2.255.255", "south")]
@@ -56,6 +58,12 @@ AGENT_RULES = AgentRules(
     device=(("iPhone", "iPhone"),),
     browser=(("Firefox/", "Firefox"), ("Chrome/", "Chrome"), ("Safari/", "Safari")),
 )
+# A token for each pattern of the shipped rules.
+OS_TOKENS = ("Windows Phone 10", "Windows NT 10.0", "iPad; CPU OS 15_0", "Android 12", "CrOS x86_64", "Mac OS X 10_15",
+             "Ubuntu", "NetBSD amd64", "FreeBSD amd64", "OpenBSD amd64", "Linux x86_64", "Plan9")
+DEVICE_TOKENS = ("Examplebot/2", "iPhone", "iPad", "iPod touch", "Macintosh", "HUAWEI P30", "Redmi 9", "SM-S908B", "x64")
+BROWSER_TOKENS = ("MicroMessenger/8", "Edg/105", "OPR/90", "UCBrowser/13", "Firefox/105", "CriOS/105", "Chromium/105",
+                  "Chrome/105", "MSIE 9", "Version/15 Safari/604", "curl/7", "Lynx")
 FLAG_OF_TYPE = {"is_browse": "view", "is_order": "click", "is_buy": "purchase",
                 "is_back_order": "error", "is_received": "signup"}
 
@@ -148,6 +156,12 @@ def pay_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each order came to, in whole units."""
+    orders = load(spark, sf_dir, "orders")
+    return orders.select(F.col("o_custkey").alias("memberid"), F.floor("o_totalprice").alias("amount"))
+
+
 def stored_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored tags of all customers but those of one market segment."""
     customer = load(spark, sf_dir, "customer").where("c_mktsegment <> 'MACHINERY'")
@@ -156,9 +170,17 @@ def stored_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer.select(F.col("c_custkey").alias("userId"), tags.alias("tagsId"))
 
 
+def tag_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tag sets of all customers, those of the left-out segment included."""
+    customer = load(spark, sf_dir, "customer")
+    kind = F.col("c_custkey") % 4
+    tags = F.when(kind == 0, "8,67").when(kind == 1, "25,999").when(kind == 2, "999")
+    return customer.select(F.col("c_custkey").alias("userId"), tags.alias("tagsId"))
+
+
 def source_reader(spark: SparkSession, sf_dir: str):
     """Reader of the derived sources the rule tree names."""
-    sources = {"users": users, "pay_orders": pay_orders}
+    sources = {"users": users, "pay_orders": pay_orders, "order_amounts": order_amounts}
 
     def read(spec: SourceSpec) -> DataFrame:
         return sources[spec.index](spark, sf_dir).select(*spec.fields)
@@ -201,6 +223,55 @@ def behaviour_records(events: DataFrame) -> DataFrame:
     return events.select(F.to_json(record).alias("value"))
 
 
+def full_records(events: DataFrame) -> DataFrame:
+    """One JSON event per event row with every field filled, some of them cut short."""
+    def numbered(prefix, column, modulus):
+        return F.concat(F.lit(prefix), (F.col(column) % modulus).cast("string"))
+
+    visited = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    flags = [F.when(F.col("event_type") == kind, 1).otherwise(0).alias(name) for name, kind in FLAG_OF_TYPE.items()]
+    record = F.struct(
+        numbered("07", "user_id", 1000).alias("phone_num"), numbered("till-", "event_id", 9).alias("system_id"),
+        numbered("name ", "user_id", 501).alias("user_name"), F.col("user_id").cast("string").alias("user_id"),
+        visited.alias("visit_time"), numbered("kind ", "event_id", 13).alias("goods_type"),
+        F.col("event_id").alias("minimum_price"),
+        F.struct(numbered("P", "user_id", 7).alias("province"), numbered("C", "user_id", 31).alias("city"),
+                 numbered("S", "user_id", 4).alias("sp")).alias("area"),
+        F.struct(*flags).alias("user_behavior"),
+        F.struct(numbered("goods ", "event_id", 211).alias("goods_name"),
+                 numbered("https://shop.test/p?x=1&y=", "event_id", 37).alias("browse_page"),
+                 visited.alias("browse_time"), numbered("https://shop.test/q/", "user_id", 19).alias("to_page"),
+                 visited.alias("to_time"), numbered("word ", "event_id", 5).alias("page_keywords")).alias("goods_detail"))
+    text = F.to_json(record)
+    return events.select(F.when(F.col("event_id") % 89 == 0, F.left(text, F.lit(25))).otherwise(text).alias("value"))
+
+
+def agent_texts(events: DataFrame) -> DataFrame:
+    """One user agent per event from all tokens."""
+    def token(tokens, index):
+        return F.get(F.array(*[F.lit(t) for t in tokens]), index.cast("int"))
+
+    event = F.col("event_id")
+    agent = F.concat(F.lit("Mozilla/5.0 ("), token(OS_TOKENS, event % len(OS_TOKENS)), F.lit("; "),
+                     token(DEVICE_TOKENS, F.expr(f"event_id div 12 % {len(DEVICE_TOKENS)}")), F.lit(") "),
+                     token(BROWSER_TOKENS, F.expr(f"event_id div 108 % {len(BROWSER_TOKENS)}")))
+    return events.select("event_id", agent.alias("useragent"))
+
+
+def event_files(spark: SparkSession, sf_dir: str, columns) -> str:
+    """The events as a folder of several files, for streams of several batches."""
+    path = scratch_path(spark, "events")
+    events = load(spark, sf_dir, "events").select(*columns)
+    events.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+    return path
+
+
+def parity_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given vectors, those of odd labels moved far away: two groups nobody can mistake."""
+    moved = F.transform("embedding", lambda x: x.cast("double") + F.col("label") % 2 * 10)
+    return load(spark, sf_dir, "embeddings").select("vec_id", moved.alias("embedding"))
+
+
 def customer_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dimension that grows with `customer`: disjoint ranges of three addresses.
 
