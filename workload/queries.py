@@ -513,6 +513,18 @@ def kmeans_quality(spark, sf_dir):
         F.min("vec_id").alias("cluster"), F.count("*").alias("members"), F.lit(score).alias("silhouette")).drop("prediction")
 
 
+@query
+def kmeans_raw_assign(spark, sf_dir):
+    """Clusters of the vectors as they are; SQL cannot state these."""
+    vectors = _vectors(spark, sf_dir)
+    return clustering.assign(clustering.fit_kmeans(vectors), vectors).select("vec_id", "prediction")
+
+
+@query
+def kmeans_raw_quality(spark, sf_dir):
+    return clustering.quality(_vectors(spark, sf_dir))
+
+
 @query
 def silhouette_given(spark, sf_dir):
     """The given labels as clusters."""
