@@ -6,11 +6,14 @@ survives is compared in full. Pairs are looked for only among fingerprints that
 
 Exact tables cut the bits into n blocks: within radius r at least n - r blocks agree, and there is a table for every
 choice of so many. n grows with the number of fingerprints, so that a bucket holds a few whatever the input; every n
-finds the same links. For radii too wide for that, sampled tables agree on random bits; see `sampled_tables`.
+finds the same links.
 
 Copies share a fingerprint and are linked once, not pair by pair. A task turns the links it finds into a forest, so
 links never outnumber the rows read; buckets beyond CELL rows are cut into chunks and every two chunks meet in a task
 of their own.
+
+`deduplicated` links by the exact Jaccard similarity of shingle sets. A fingerprint only estimates it, too roughly to
+tell 0.75 from 0.8, so candidates come from bands of minimal hashes there and every link is told by the sets themselves.
 """
 
 from collections.abc import Iterator
@@ -31,6 +34,11 @@ PIVOTS = 16
 CELL = 4096
 GROUP_ROWS = 60_000
 BLOCK = 1 << 14
+BAND = 7
+MISS = 1e-5
+FIRST_BANDS = 4
+CELL_BYTES = 8 << 20
+GROUP_BYTES = 48 << 20
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -102,19 +110,6 @@ def exact_tables(bits: int, radius: int, rows: int) -> np.ndarray:
                   for chosen in combinations(range(blocks), blocks - radius)], bits)
 
 
-def sampled_tables(bits: int, radius: int, rows: int, miss: float = 0.01) -> np.ndarray:
-    """Masks of random bits; two fingerprints at the radius agree on none of them with probability `miss` at most.
-
-    Bits per mask grow with the rows, and the number of masks with these. Closer pairs are missed far more rarely: with
-    256 bits and radius 38, one at 27 bits with a chance of a few thousandths.
-    """
-    width = max(12, int(np.ceil(np.log2(max(rows, 1)))) + 1)
-    agree = np.prod([(bits - radius - i) / (bits - i) for i in range(width)])
-    count = int(np.ceil(np.log(miss) / np.log1p(-agree)))
-    chosen = np.random.default_rng(7)
-    return masks([chosen.choice(bits, width, replace=False).tolist() for _ in range(count)], bits)
-
-
 def masks(chosen: list[list[int]], bits: int) -> np.ndarray:
     out = np.zeros((len(chosen), bits), dtype=np.uint8)
     for i, own in enumerate(chosen):
@@ -224,7 +219,7 @@ def stars(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, size: int = 4, bits: int = 64, radius: int = 4, sampled: bool = False,
+def near_duplicates(docs: DataFrame, size: int = 4, bits: int = 64, radius: int = 4,
                     keep: tuple[str, ...] = ()) -> DataFrame:
     """_id, node, component_id (smallest doc_id of all that are linked, null only if none has one), first (whether the
     row is the one that stands for its component) and the columns of `keep`.
@@ -236,8 +231,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, bits: int = 64, radius: int
     name = F.struct(F.col("_id").isNull().alias("missing"), F.col("_id").alias("id"), F.col("_row").alias("row"))
     distinct = written(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.min(name).alias("least")), "simhash-once")
     n = distinct.count()
-    tables = (sampled_tables if sampled else exact_tables)(bits, radius, n)
-    joined = stars(links(distinct, bits, radius, tables))
+    joined = stars(links(distinct, bits, radius, exact_tables(bits, radius, n)))
     members = distinct.select("node", "least").join(joined, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"), "least")
     roots = written(members.groupBy("root").agg(F.min("least").alias("first")), "simhash-roots")
@@ -252,13 +246,157 @@ def query(docs: DataFrame) -> DataFrame:
         F.col("_id").alias("doc_id"), F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame, similarity: float = 0.8, size: int = 5, bits: int = 256) -> DataFrame:
-    """One document of each group of near-duplicates on `size`-word shingles, the one of the smallest doc_id.
+def bands(similarity: float) -> int:
+    """Bands of BAND minimal hashes each, so that two sets at the similarity share none with probability MISS at most."""
+    return int(np.ceil(np.log(MISS) / np.log1p(-similarity ** BAND)))
+
+
+def band_keys(hashes: np.ndarray, count: int) -> np.ndarray:
+    """A key for each band; two sets share one with probability Jaccard ** BAND. The empty set: all of one key."""
+    factor = mix(np.arange(1, count * BAND + 1, dtype=np.uint64)) | np.uint64(1)
+    shift = mix(factor)
+    least = np.full(count * BAND, np.iinfo(np.uint64).max, dtype=np.uint64)
+    rows = max(1, BLOCK * 8 // len(factor))
+    for low in range(0, len(hashes), rows):
+        np.minimum(least, (hashes[low:low + rows, None] * factor + shift).min(axis=0), out=least)
+    key = np.arange(1, count + 1, dtype=np.uint64)
+    for k in range(BAND):
+        key = mix(key * np.uint64(3) + least[k::BAND])
+    return key
+
+
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, size))
+
+
+def set_node(hashes: np.ndarray) -> int:
+    """64 bits that stand for a set."""
+    return xxhash.xxh64_intdigest(hashes.tobytes(), SEED) - (1 << 63)
+
+
+def shingled(docs: DataFrame, size: int, count: int, keep: tuple[str, ...]) -> DataFrame:
+    """_id, node (of the shingle set), n (bytes of text), keys, _row (unique) and the columns of `keep`, written."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"), *keep)
+    fields = [f for f in rows.schema if f.name not in ("_id", "_text")]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("_text").to_pylist()
+            sets = [shingle_set(x, size) for x in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), pa.array([set_node(x) for x in sets], type=pa.int64()),
+                 pa.array([len(x or "") for x in texts], type=pa.int64()),
+                 pa.array([band_keys(x, count).view(np.int64) for x in sets], type=pa.list_(pa.int64())),
+                 *(batch.column(f.name) for f in fields)], names=["_id", "node", "n", "keys", *(f.name for f in fields)])
+
+    kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in fields)
+    made = rows.mapInArrow(add, f"_id long, node long, n long, keys array<long>{kinds}")
+    return written(made.withColumn("_row", F.monotonically_increasing_id()), "shingles")
+
+
+def alike(cell: np.ndarray, chunk: np.ndarray, label: np.ndarray, sets: list[np.ndarray], similarity: float
+          ) -> list[tuple[int, int]]:
+    """A forest over the rows: pairs within cells at the Jaccard similarity or more, of rows not of one label yet.
+
+    `chunk`: rows of one chunk meet elsewhere unless it is -1.
+    """
+    out = []
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    order = np.lexsort((sizes, cell))
+    edges = np.flatnonzero(np.concatenate([[True], cell[order][1:] != cell[order][:-1], [True]]))
+    for low, high in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        own = order[low:high]
+        tag, part, size = label[own].copy(), chunk[own], sizes[own]
+        ends = np.cumsum(size)
+        flat = np.concatenate([sets[i] for i in own])
+        for i in range(len(own) - 1):
+            last = int(np.searchsorted(size, size[i] / similarity + 1e-9, side="right"))
+            j = np.arange(i + 1, last)
+            j = j[(tag[j] != tag[i]) & ((part[j] < 0) | (part[j] != part[i]))]
+            if not len(j) or not size[i]:
+                continue
+            if len(j) * 2 > last - i:
+                # Most of the run takes part: one look-up over all of it.
+                at, base = flat[ends[i]:ends[last - 1]], ends[i]
+            else:
+                at, base = np.concatenate([flat[ends[x] - size[x]:ends[x]] for x in j]), None
+            mine = sets[own[i]]
+            hit = mine[np.minimum(np.searchsorted(mine, at), len(mine) - 1)] == at
+            total = np.concatenate([[0], np.cumsum(hit)])
+            if base is None:
+                stop = np.cumsum(size[j])
+                both = total[stop] - total[stop - size[j]]
+            else:
+                both = total[ends[j] - base] - total[ends[j] - size[j] - base]
+            for x in j[both >= similarity * (size[i] + size[j] - both) - 1e-9].tolist():
+                if tag[x] != tag[i]:
+                    out.append((int(own[i]), int(own[x])))
+                    tag[tag == tag[x]] = tag[i]
+    return out
+
+
+def jaccard_links(keys: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """node_a, node_b: links that join all sets that share a key and are at the similarity or more.
+
+    `keys`: key, node, label (rows of one label are joined already) and n (bytes of text), a written table; keys met by
+    one label alone are passed over. `texts`: node and text.
+    """
+    crowded = keys.groupBy("key").agg(F.sum("n").alias("bytes"), F.min("label").alias("least"), F.max("label").alias("most"))
+    crowded = written(crowded.where("least <> most").select(
+        "key", F.ceil((F.col("bytes") + 1) / CELL_BYTES).cast("int").alias("chunks")), "jaccard-buckets")
+    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    met = (keys.join(crowded, "key").withColumn("chunk", own)
+           .withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
+           .select("node", "label", "n", F.when(F.col("chunks") > 1, F.col("chunk")).otherwise(-1).alias("chunk"),
+                   (F.col("other") == F.col("chunk")).alias("inner"),
+                   F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("cell")))
+    met = written(met, "jaccard-cells")
+    groups = max(1, -(-(met.agg(F.sum("n")).first()[0] or 0) // GROUP_BYTES))
+    both = met.withColumn("group", F.pmod("cell", F.lit(groups))).drop("n").join(texts, "node")
+
+    def find(group: pd.DataFrame) -> pd.DataFrame:
+        nodes_, first = np.unique(group["node"].to_numpy(), return_index=True)
+        known = {n: shingle_set(group["text"].iat[i], size) for n, i in zip(nodes_.tolist(), first.tolist())}
+        ids, cells = group["node"].to_numpy(), group["cell"].to_numpy()
+        # A chunk that meets itself is compared whole; where two chunks meet, only rows of different ones.
+        mixed = pd.Series(~group["inner"].to_numpy()).groupby(cells).transform("any").to_numpy()
+        chunk = np.where(mixed, group["chunk"].to_numpy(), -1)
+        found = alike(cells, chunk, group["label"].to_numpy(), [known[n] for n in ids.tolist()], similarity)
+        a, b = np.array(found, dtype=np.int64).reshape(-1, 2).T
+        return pd.DataFrame({"node_a": ids[a], "node_b": ids[b]})
+
+    return both.groupBy("group").applyInPandas(find, "node_a long, node_b long")
+
 
-    Documents are linked if their fingerprints show a Jaccard similarity of `similarity` or more: at Jaccard J, sets
-    of one size have cosine 2J / (1 + J), and a bit differs with probability angle / pi.
+def deduplicated(docs: DataFrame, similarity: float = 0.8, size: int = 5) -> DataFrame:
+    """One document of each group of near-duplicates, the one of the smallest doc_id.
+
+    Documents are linked if the exact Jaccard similarity of their sets of `size`-word shingles is `similarity` or more.
+    A pair is a candidate if it shares a band of minimal hashes; one at the very similarity shares none with a chance
+    of MISS at most, closer ones far more rarely. Equal sets are one node. Texts are compared in two rounds: what the
+    first few bands join need not be compared again in the others.
     """
-    angle = np.arccos(2 * similarity / (1 + similarity))
-    radius = int(np.floor(bits * angle / np.pi))
     rows, names = set_aside(docs, "doc_id", "text")
-    return put_back(near_duplicates(rows, size, bits, radius, True, names).where("first"), docs)
+    text = f"in_{docs.columns.index('text')}"
+    rows = shingled(rows, size, bands(similarity), names)
+    name = F.struct(F.col("_id").isNull().alias("missing"), F.col("_id").alias("id"), F.col("_row").alias("row"))
+    distinct = written(rows.groupBy("node").agg(F.min(name).alias("least")), "shingles-once")
+    first = distinct.select(F.col("least")["row"].alias("_row"))
+    keys = written(rows.join(first, "_row", "left_semi").select("node", "n", F.posexplode("keys").alias("band", "key")),
+                   "shingles-keys")
+    # Most keys are met once; only the others need the texts.
+    shared = keys.groupBy("key").count().where(F.col("count") > 1)
+    keys = written(keys.join(shared.select("key"), "key", "left_semi"), "shingles-shared")
+    wanted = keys.select("node").distinct().join(distinct, "node").select("node", F.col("least")["row"].alias("_row"))
+    texts = written(rows.select("_row", F.col(text).cast("string").alias("text")).join(wanted, "_row").drop("_row"),
+                    "shingles-texts")
+    early = written(keys.where(F.col("band") < FIRST_BANDS).select("key", "node", "n", F.col("node").alias("label")),
+                    "shingles-early")
+    edges = written(jaccard_links(early, texts, size, similarity), "shingles-links")
+    late = keys.where(F.col("band") >= FIRST_BANDS).join(stars(edges), "node", "left").select(
+        "key", "node", "n", F.coalesce("root", "node").alias("label"))
+    more = jaccard_links(written(late, "shingles-late"), texts, size, similarity)
+    members = distinct.join(stars(edges.union(more)), "node", "left").select(
+        F.coalesce("root", "node").alias("root"), "least")
+    kept = members.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least")["row"].alias("_row"))
+    return put_back(rows.join(kept, "_row", "left_semi"), docs)

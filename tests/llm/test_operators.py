@@ -352,6 +352,37 @@ def test_one_document_of_each_group_stays(spark, docs):
     assert copies.columns == docs.columns and copies.count() == copies.select("doc_id").distinct().count()
 
 
+def test_near_duplicates_are_told_by_exact_similarity(spark):
+    """Pairs on both sides of 0.8, against all pairs by brute force."""
+    dice = np.random.default_rng(8)
+    texts = []
+    for i in range(150):
+        own = [f"w{x}" for x in dice.integers(0, 1 << 30, 304)]
+        texts.append(" ".join(own))
+        for j in dice.choice(60, int(dice.integers(4, 13)), replace=False):
+            own[2 + 5 * j] = "x"
+        texts.append(" ".join(own))
+    words_ = [t.split() for t in texts]
+    sets = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in words_]
+    close = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    assert sum(0.7 <= c < 0.8 for c in close) > 20 and sum(0.8 <= c < 0.9 for c in close) > 20
+    want = [i for i in range(len(texts)) if i % 2 == 0 or close[i // 2] < 0.8]
+    assert sorted(r["doc_id"] for r in op9_simhash.deduplicated(h.frame(spark, texts)).collect()) == want
+
+
+@pytest.mark.parametrize("limit", [1 << 23, 20_000])
+def test_groups_of_many_near_duplicates(spark, monkeypatch, limit):
+    """One group far larger than a cell, whose texts are linked in a chain only."""
+    monkeypatch.setattr(op9_simhash, "CELL_BYTES", limit)
+    own, texts = [f"w{i}" for i in range(200)], []
+    for i in range(120):
+        own[i] = f"v{i}"
+        texts.append(" ".join(own))
+    far = " ".join(f"u{i}" for i in range(200))
+    left = [r["doc_id"] for r in op9_simhash.deduplicated(h.frame(spark, [*texts, far])).collect()]
+    assert sorted(left) == [0, 120]
+
+
 def test_languages_of_held_out_rows(spark, awkward):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = rows(op10_language.query(docs))
