@@ -2,8 +2,8 @@
 
 Runs of one to three bytes of the lower-cased text are hashed to DIMENSIONS buckets; a text's vector holds
 1 + log(count), times the inverse document frequency, at length one. Document frequencies come from all training
-documents. Centroids are clustered within each language (spherical k-means) on a sample of at most FIT_ROWS training
-documents. A text gets the language of the nearest centroid by cosine; one nearer to none than REJECT is marked
+documents. Centroids are clustered within each language (spherical k-means) on a sample of about FIT_ROWS training
+documents in all: every one of the rarer languages, and of the others as many each as that leaves. A text gets the language of the nearest centroid by cosine; one nearer to none than REJECT is marked
 rejected but keeps its nearest language.
 """
 
@@ -22,6 +22,7 @@ DIMENSIONS = 4096
 CENTROIDS = 3
 ROUNDS = 4
 FIT_ROWS = 20_000
+LEAST_ROWS = 64
 REJECT = 0.15
 HELD_OUT = (5, 0)
 ROWS = 256
@@ -56,8 +57,8 @@ def training(docs: DataFrame) -> DataFrame:
         F.col("lang").cast("string").alias("lang"), "text", F.col("doc_id").cast("string").alias("name"))
 
 
-def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Inverse document frequencies over all training documents, and how many these are."""
+def frequencies(docs: DataFrame) -> np.ndarray:
+    """Inverse document frequencies over all training documents."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, n = np.zeros(DIMENSIONS, dtype=np.int64), 0
         for batch in batches:
@@ -73,7 +74,7 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     for r in counts.collect():
         found[r["bucket"]] = r["n"]
     n = int(found[-1])
-    return (np.log((n + 1) / (found[:-1] + 1)) + 1).astype(np.float32), n
+    return (np.log((n + 1) / (found[:-1] + 1)) + 1).astype(np.float32)
 
 
 def assigned(batches: Iterator[pa.RecordBatch], idf: np.ndarray, centres: dict[str, np.ndarray]
@@ -98,11 +99,29 @@ def assigned(batches: Iterator[pa.RecordBatch], idf: np.ndarray, centres: dict[s
                            columns=["lang", "k", "total", "n"])
 
 
-def centroids(docs: DataFrame, idf: np.ndarray, rows: int, fit_rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
+def rows_each(sizes: list[int], fit_rows: int) -> int:
+    """Rows to take of each language at most, so that all take about `fit_rows`; LEAST_ROWS at least."""
+    left, most = fit_rows, 0
+    for i, n in enumerate(sorted(sizes)):
+        most = left // (len(sizes) - i)
+        if n > most:
+            break
+        left, most = left - n, n
+    return max(most, LEAST_ROWS)
+
+
+def sampled(docs: DataFrame, fit_rows: int) -> DataFrame:
+    """Training rows chosen by hash, each language with a share of its own."""
+    counts = docs.groupBy("lang").agg(F.count("*").alias("n"))
+    most = rows_each([r["n"] for r in counts.collect()], fit_rows)
+    shares = counts.select("lang", F.least(F.lit(1.0), F.lit(float(most)) / F.col("n")).alias("share"))
+    hashed = F.pmod(F.xxhash64("name", "text"), F.lit(1 << 50)) / float(1 << 50)
+    return docs.join(F.broadcast(shares), "lang").where(hashed < F.col("share")).drop("share")
+
+
+def centroids(docs: DataFrame, idf: np.ndarray, fit_rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages and unit centroids (one language may have several rows)."""
-    hashed = F.pmod(F.xxhash64("name", "text"), F.lit(1_000_000))
-    share = min(1.0, fit_rows / max(rows, 1))
-    sample = written(docs.where(hashed < int(share * 1_000_000)).withColumn(
+    sample = written(sampled(docs, fit_rows).withColumn(
         "seed", F.pmod(F.xxhash64("text"), F.lit(CENTROIDS)).cast("int")).drop("name"), "language-sample")
     centres: dict[str, np.ndarray] = {}
     for _ in range(ROUNDS):
@@ -132,8 +151,8 @@ def languages(docs: DataFrame, fit_rows: int = FIT_ROWS, keep: tuple[str, ...] =
     null language are predicted, not learnt from. Repeated rows: each its own result. Empty table: no rows.
     """
     train = training(docs)
-    idf, n = frequencies(train)
-    langs, centres = centroids(train, idf, n, fit_rows)
+    idf = frequencies(train)
+    langs, centres = centroids(train, idf, fit_rows)
     model = docs.sparkSession.sparkContext.broadcast((langs, centres.astype(np.float32), idf))
     of, held = HELD_OUT
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder("doc_id", of) == held).alias("held_out"),

@@ -395,6 +395,18 @@ def test_languages_of_held_out_rows(spark, awkward):
         assert found[i]["lang_pred"] == ("en" if told else "und") and 0 <= found[i]["score"] <= 1
 
 
+def test_rare_languages_are_learnt_at_any_size(spark):
+    """Few rows of one language beside many of another, of which the sample takes few."""
+    dice = np.random.default_rng(4)
+    say = lambda letters: " ".join("".join(dice.choice(list(letters), 6)) for _ in range(30))
+    texts = [say("abcdefgh") for _ in range(2000)] + [say("stuvwxyz") for _ in range(8)]
+    found = rows(op10_language.languages(h.frame(spark, texts, lang=["aa"] * 2000 + ["zz"] * 8), fit_rows=100))
+    assert all(found[i]["lang_pred"] == ("aa" if i < 2000 else "zz") for i in found)
+    train = op10_language.training(h.frame(spark, texts, lang=["aa"] * 2000 + ["zz"] * 8))
+    taken = Counter(r["lang"] for r in op10_language.sampled(train, 100).collect())
+    assert taken["zz"] == train.where("lang = 'zz'").count() and 50 < taken["aa"] < 150
+
+
 def test_empty_tables(spark):
     none = h.empty(spark)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
