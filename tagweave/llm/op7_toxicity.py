@@ -8,7 +8,7 @@ The posterior labels of a sample of at most FIT_ROWS documents train a logistic
 its scale is set on labelled documents.
 
 Only rows whose crc32(doc_id as text) mod 4 is not 2 lend their labels, FIT_ROWS of them at most. Words count by how
-many different openings of documents use them, so that copies of one document count once.
+many different texts of a class use them, so that copies of one document count once.
 """
 
 from collections.abc import Iterator
@@ -69,23 +69,22 @@ def among(h: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """toxic, opening and words of at most `fit_rows` labelled documents, chosen by hash, as a written table."""
+    """toxic, copy (a hash of the whole text) and words of at most `fit_rows` labelled documents, chosen by hash, as a written table."""
     of, held = HELD_OUT
     usable = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(remainder("doc_id", of) != held)
     ids = usable.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id").select(
-        "toxic", F.xxhash64(F.substring(F.coalesce("text", F.lit("")), 1, 48)).alias("opening"), "text")
+        "toxic", F.xxhash64(F.coalesce("text", F.lit(""))).alias("copy"), "text")
     return written(word_sets(rows, [f for f in rows.schema if f.name != "text"]), "toxic-labelled")
 
 
 def lexicon(rows: DataFrame, most: int = LEXICON) -> list[int]:
-    """Hashed words by falling log odds of toxic against other documents, each opening counted once a class."""
-    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.countDistinct("opening").alias("n")).collect()}
+    """Hashed words by falling log odds of toxic against other documents, each text counted once a class."""
+    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.countDistinct("copy").alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         return []
-    uses = (rows.select("toxic", "opening", F.explode("words").alias("h")).groupBy("h", "opening")
-            .agg(F.max("toxic").alias("toxic")).groupBy("h")
+    uses = (rows.select("toxic", "copy", F.explode("words").alias("h")).distinct().groupBy("h")
             .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).where(F.col("a") >= MIN_USES))
     odds = F.log((F.col("a") + 0.5) / n[1]) - F.log((F.col("b") + 0.5) / n[0])
     chosen = uses.withColumn("odds", odds).where(F.col("odds") >= MIN_ODDS).orderBy(F.desc("a"), F.desc("odds"), "h")

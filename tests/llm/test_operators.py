@@ -274,6 +274,15 @@ def test_toxicity_of_awkward_rows(spark, awkward):
     assert len(found) == len(h.AWKWARD) and all(0 <= r["score"] <= 1 for r in found.values())
 
 
+def test_texts_with_one_beginning_are_told_apart(spark):
+    """A long header that all share: toxic words are learnt, and words of the clean texts are not."""
+    head = "this notice stands at the beginning of every page of the source. "
+    texts = [f"{head} page {i} snark venom" if i % 4 == 0 else f"{head} page {i} garden flower" for i in range(80)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(80)], "doc_id long, quality int, toxic int")
+    learnt = op7_toxicity.lexicon(op7_toxicity.labelled(h.frame(spark, texts), labels))
+    assert set(learnt) == set(op7_toxicity.hashed(["snark", "venom"]).view(np.int64).tolist())
+
+
 def test_windows_hit(spark, docs, awkward):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     extra = [(900, "a"), (901, "same text"), (902, None), (903, " ... "), (904, items[0][1]), (904, items[0][1]),
