@@ -175,6 +175,21 @@ def presence(words: list[list[int]], table: np.ndarray) -> np.ndarray:
     return out
 
 
+def sampled_sets(voted: DataFrame, most: int) -> list:
+    """votes, words and weight of at most `most` different sets, chosen by hash, each standing for `weight` rows.
+
+    A priority sample: sets are ranked by count over a hashed uniform number, and one counts for the first rank left out
+    if it occurs less often. So the rows of any kind of set keep their share on the average, the rare ones too. If all
+    sets are taken, the weights are the counts.
+    """
+    uniform = (F.pmod(F.xxhash64("votes", "words"), F.lit(1 << 50)) + 1) / float(1 << 50)
+    ranked = (voted.groupBy("votes", "words").count().withColumn("rank", F.col("count") / uniform)
+              .orderBy(F.desc("rank"), "votes", "words").limit(most + 1))
+    found = ranked.collect()
+    bound = found[most]["rank"] if len(found) > most else 0.0
+    return [{"votes": r["votes"], "words": r["words"], "weight": max(float(r["count"]), bound)} for r in found[:most]]
+
+
 def classifier(docs: DataFrame, rows: DataFrame, voters: Voters, fit_rows: int) -> tuple[np.ndarray, float, float]:
     """Word weights with the constant, then scale and shift to labelled probabilities."""
     of, held = HELD_OUT
@@ -185,9 +200,8 @@ def classifier(docs: DataFrame, rows: DataFrame, voters: Voters, fit_rows: int)
         voters.table.view(np.int64).tolist())).alias("words")).collect()]
     toxic = np.array([t for t, _ in known], dtype=float)
     posterior = label_model(counts, float(toxic.mean()) if len(toxic) else 0.1)
-    # Of each pattern, up to as many different word sets as the sample holds, with how often they occur.
-    sets = voted.groupBy("votes", "words").count().orderBy(F.desc("count"), F.xxhash64("words")).limit(fit_rows).collect()
-    x, n = presence([r["words"] for r in sets], voters.table), np.array([r["count"] for r in sets], dtype=float)
+    sets = sampled_sets(voted, fit_rows)
+    x, n = presence([r["words"] for r in sets], voters.table), np.array([r["weight"] for r in sets], dtype=float)
     p = np.array([posterior[r["votes"]] for r in sets])
     w = weighted(x, p, n)
     z = presence([own for _, own in known], voters.table) @ w[:-1] + w[-1]

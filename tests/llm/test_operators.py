@@ -283,6 +283,18 @@ def test_texts_with_one_beginning_are_told_apart(spark):
     assert set(learnt) == set(op7_toxicity.hashed(["snark", "venom"]).view(np.int64).tolist())
 
 
+def test_rare_word_sets_keep_their_share_of_the_sample(spark):
+    """Many different sets that occur once beside few that occur often, of which the sample takes a part."""
+    often = [(0, [i], 20) for i in range(300)]
+    rare = [(1, [1000 + i, 9], 1) for i in range(3000)]
+    voted = spark.createDataFrame([(v, w) for v, w, n in often + rare for _ in range(n)], "votes long, words array<long>")
+    found = op7_toxicity.sampled_sets(voted, 600)
+    assert len(found) == 600
+    assert sum(r["weight"] for r in found if r["votes"] == 1) == pytest.approx(3000, rel=0.2)
+    assert sum(r["weight"] for r in found) == pytest.approx(9000, rel=0.1)
+    assert sorted(r["weight"] for r in op7_toxicity.sampled_sets(voted, 5000)) == [1.0] * 3000 + [20.0] * 300
+
+
 def test_windows_hit(spark, docs, awkward):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     extra = [(900, "a"), (901, "same text"), (902, None), (903, " ... "), (904, items[0][1]), (904, items[0][1]),
