@@ -27,8 +27,9 @@ from tagweave.llm.tables import put_back, set_aside, written
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 FEATURES = ("log_words", "word_length", "symbols", "dup_lines", "repeats")
-# Least standard deviation that a transformed statistic is taken to have.
-FLOORS = (0.5, 0.35, 0.12, 0.12, 0.12)
+# Least standard deviation that a transformed statistic is taken to have. With TAIL, each share alone rejects from
+# (0.1 * 6.57) ** 2 = 0.43 on where the group has none: below the base limit of repeats, and within the other ranges.
+FLOORS = (0.5, 0.35, 0.1, 0.1, 0.1)
 SHARE = 0.75
 STEPS = 4
 BINS = 64
@@ -37,7 +38,7 @@ MIN_ROWS = 60
 TAIL = 1e-7
 
 STATS = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-         "base_failed boolean")
+         "base_failed boolean, n_lines long")
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -54,16 +55,17 @@ def repeated_words(words: list[bytes]) -> int:
     return n
 
 
-def text_stats(text: str | None) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+def text_stats(text: str | None) -> tuple[int, int, int, int, int, int]:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines."""
     if not text:
-        return 0, 0, 0, 0, 0
+        return 0, 0, 0, 0, 0, 0
     data = text.encode()
     words = data.split()
     joined = b"".join(words)
     chars = len(joined) if text.isascii() else len(joined.decode())
     lines = [x for x in data.split(b"\n") if x and not x.isspace()]
-    return (len(words), chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated_words(words))
+    return (len(words), chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated_words(words),
+            len(lines))
 
 
 def stats(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -76,13 +78,13 @@ def stats(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([text_stats(x.as_py()) for x in batch.column("text")], dtype=np.int64).reshape(-1, 5)
+            found = np.array([text_stats(x.as_py()) for x in batch.column("text")], dtype=np.int64).reshape(-1, 6)
             failed = (found[:, 0] < MIN_WORDS) | (100 * found[:, 4] > 50 * found[:, 0])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(found[:, i]) for i in range(5)), pa.array(failed),
-                 *(batch.column(f.name) for f in extra)],
+                 pa.array(found[:, 5]), *(batch.column(f.name) for f in extra)],
                 names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                       *(f.name for f in extra)])
+                       "n_lines", *(f.name for f in extra)])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)
     return rows.mapInArrow(count, f"{STATS}, {kinds}")
@@ -95,7 +97,7 @@ def vectors(found: DataFrame) -> DataFrame:
         "*", F.log(words.cast("double")).alias("log_words"),
         (F.col("word_chars") / words).alias("word_length"),
         F.sqrt(F.least(F.col("n_symbols") / words, F.lit(1.0))).alias("symbols"),
-        F.sqrt(F.col("n_dup_lines") / words).alias("dup_lines"),
+        F.sqrt(F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))).alias("dup_lines"),
         F.sqrt(F.col("n_repeat_words") / words).alias("repeats"))
 
 

@@ -96,6 +96,22 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert all(found[i]["kept"] for i in range(400)) and not any(found[i]["kept"] for i in range(400, 420))
 
 
+def test_each_share_alone_rejects(spark):
+    """Junk of duplicate lines, of repeated passages below the base limit, and of symbols, one kind a document."""
+    import random
+
+    dice = random.Random(6)
+    known = ["".join(dice.choice("abcdefgh") for _ in range(dice.randint(2, 9))) for _ in range(5000)]
+    say = lambda n: [dice.choice(known) for _ in range(n)]
+    clean = [" ".join(say(dice.randint(100, 900))) for _ in range(300)]
+    lines = ["\n".join([" ".join(say(300)), *["so it is"] * 30]) for _ in range(5)]
+    repeats = [" ".join(say(160) + (own := say(72)) + own) for _ in range(5)]
+    symbols = [" ".join(w + "#" * (i % 2) for i, w in enumerate(say(300))) for _ in range(5)]
+    found = rows(op2_outliers.judged(h.frame(spark, clean + lines + repeats + symbols)))
+    assert not any(found[i]["base_failed"] for i in found)
+    assert [i for i in sorted(found) if not found[i]["kept"]] == list(range(300, 315))
+
+
 def test_estimate_is_that_of_the_nearest_rows(spark):
     """Against concentration steps over plain arrays; bins round the share up, so the two agree roughly."""
     dice = np.random.default_rng(5)
