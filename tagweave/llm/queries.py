@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tagweave.llm import (op1_token_index, op2_outliers, op3_packing, op4_mixing, op5_personal_data, op6_maxent,
-                          op7_toxicity, op8_decontamination, op9_simhash, op10_language)
+                          op7_toxicity, op8_decontamination, op9_simhash, op10_language, op11_repeats)
 from tagweave.llm.tables import table
 
 
@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                                                       table(spark, d, "benchmark")),
     "op9_simhash_groups": lambda spark, d: op9_simhash.query(table(spark, d, "documents")),
     "op10_languages": lambda spark, d: op10_language.query(table(spark, d, "documents")),
+    "op11_repeats": lambda spark, d: op11_repeats.query(table(spark, d, "documents")),
 }
 
-ORACLE: dict[str, str] = {"op4_water_filling": op4_mixing.SQL}
+ORACLE: dict[str, str] = {"op4_water_filling": op4_mixing.SQL, "op11_repeats": op11_repeats.SQL}

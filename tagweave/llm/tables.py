@@ -1,6 +1,9 @@
 """Inputs of the operators, tables in the shared folder, and gapless numbering in many tasks."""
 
+import contextlib
 import math
+import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,3 +52,19 @@ def set_aside(docs: DataFrame, *wanted: str) -> tuple[DataFrame, tuple[str, ...]
 def put_back(df: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of docs, as they were before set_aside."""
     return df.select(*(f"in_{i}" for i in range(len(docs.columns)))).toDF(*docs.columns)
+
+
+@contextlib.contextmanager
+def bucketed(df: DataFrame, label: str, column: str, buckets: int) -> Iterator[DataFrame]:
+    """The frame as a table in the shared folder, bucketed by a column: grouping it by that column moves no row again.
+
+    The catalog forgets the table afterwards; its files stay for the folder's retention.
+    """
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    (df.write.format("parquet").option("path", scratch_path(spark, label)).bucketBy(buckets, column)
+     .saveAsTable(name))
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
