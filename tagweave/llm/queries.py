@@ -5,14 +5,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tagweave.llm import (op1_token_index, op2_outliers, op3_packing, op4_mixing, op5_personal_data, op6_maxent,
-                          op7_toxicity, op8_decontamination, op9_simhash, op10_language, op11_repeats)
+                          op7_toxicity, op8_decontamination, op9_simhash, op10_language, op11_repeats, op12_alignment,
+                          op13_prefix_trie)
 from tagweave.llm.tables import table
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -28,6 +29,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_groups": lambda spark, d: op9_simhash.query(table(spark, d, "documents")),
     "op10_languages": lambda spark, d: op10_language.query(table(spark, d, "documents")),
     "op11_repeats": lambda spark, d: op11_repeats.query(table(spark, d, "documents")),
+    "op12_alignment": lambda spark, d: op12_alignment.query(table(spark, d, "documents"), tokenizer("byte_bpe_50k.json"),
+                                                            tokenizer("piece_bpe_32k.model")),
+    "op13_prefix_trie": lambda spark, d: op13_prefix_trie.query(table(spark, d, "conversations")),
 }
 
-ORACLE: dict[str, str] = {"op4_water_filling": op4_mixing.SQL, "op11_repeats": op11_repeats.SQL}
+ORACLE: dict[str, str] = {"op4_water_filling": op4_mixing.SQL, "op11_repeats": op11_repeats.SQL,
+                          "op13_prefix_trie": op13_prefix_trie.SQL}
