@@ -100,7 +100,8 @@ def test_alignment_of_the_table(spark, tools):
 @pytest.mark.parametrize("small", [False, True])
 def test_awkward_texts(spark, tools, small, monkeypatch):
     texts = [*h.AWKWARD, "ﬁne ｆｕｌｌ", "é", " two  spaces ", "▁ mark", "<0x41><s></s><unk><|endoftext|>", "\0\x01",
-             "\U0001F600\U0001F600 漢字", "a b", "tab\tand\nline", "the same", "the same"]
+             "\U0001F600\U0001F600 漢字", "a b", "tab\tand\nline", "the same", "the same", "a" + " \n" * 100_000 + "b",
+             "don't we'll I'M <|endoftext|>x", "^" * 5000]
     df = h.frame(spark, texts)
     df = df.union(df.where("doc_id in (4, 13)")).union(
         df.where("doc_id = 4").selectExpr("cast(NULL AS long) AS doc_id", *df.columns[1:])).coalesce(2)
@@ -110,6 +111,14 @@ def test_awkward_texts(spark, tools, small, monkeypatch):
     assert got(op12_alignment.query(df, *map(tokenizer, PATHS))) == plain(pairs(df), tools)
 
 
+def test_ranks_give_the_tokenizers_ids(tools):
+    own = op12_alignment.side(op12_alignment.ByteLevel, tokenizer(PATHS[0]))
+    for first in range(0, 0x110000, 97):
+        text = "".join(f"a{c} {c}{c}1 \n{c}'s{c}  x" for c in map(chr, range(first, min(first + 97, 0x110000)))
+                       if not "\ud800" <= c <= "\udfff")
+        assert own.encode([text]) == [tools[0].encode(" " + text, add_special_tokens=False).ids]
+
+
 def test_groups_as_text(spark, tools):
     df = h.frame(spark, ["Hello world", None])
     out = dict(map(tuple, op12_alignment.alignments(df, *map(tokenizer, PATHS)).collect()))
