@@ -37,12 +37,12 @@ from tagweave.llm.tables import bucketed, written
 LENGTH = 50
 GRAM = 20
 SPAN = 31
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 PART_ANCHORS = 2_000_000
-GROUP_SEGMENTS = 30_000
+GROUP_SEGMENTS = 20_000
 HOT = 20_000
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
@@ -333,7 +333,7 @@ def interval_groups(chunks: DataFrame, anchors: DataFrame, length: int, parts: i
         text = []
         for x in at:
             of = np.frombuffer(x, dtype=np.int64)
-            text.append(own.words[of][width < own.size[of, None]].tobytes())
+            text.append(pa.compress(own.words[of][width < own.size[of, None]].tobytes(), "zstd", asbytes=True))
         return table_of("chunk part size least most text", (chunk, part, size, least, most, text),
                         [_LONG, _LONG, *[_BLOB] * 4])
 
@@ -344,8 +344,9 @@ def interval_groups(chunks: DataFrame, anchors: DataFrame, length: int, parts: i
                        for c in ("least", "most"))
         width = -(-(length + SPAN - 1) // 8) * 8
         words = np.zeros((len(size), width), dtype=np.uint8)
-        words[np.arange(width) < size[:, None]] = np.frombuffer(
-            b"".join(x.as_py() for x in table.column("text")), dtype=np.uint8)
+        words[np.arange(width) < size[:, None]] = np.frombuffer(b"".join(
+            pa.decompress(x.as_py(), int(y.sum(dtype=np.int64)), "zstd", asbytes=True)
+            for x, y in zip(table.column("text"), sizes, strict=True)), dtype=np.uint8)
         hashed = row_hash(words.view("<u8"), size)
         order = np.argsort(hashed, kind="stable")
         new = np.ones(len(order), dtype=bool)
@@ -465,33 +466,43 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, **limits: int) -> DataF
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, **limits: int) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes left, as text that may be cut inside a
-    character: those bytes read as U+FFFD) of each row, without the bytes under repeats of smaller documents."""
+def merged(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges that overlap or touch in one row, as one."""
+    order = np.lexsort((start, row))
+    row, start, end = row[order], start[order], np.maximum.accumulate(end[order]) if len(order) else end
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (start[1:] > end[:-1])
+    first = np.flatnonzero(new)
+    return row[first], start[first], end[np.append(first[1:], len(row)) - 1] if len(row) else end
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, texts: bool = False, **limits: int) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row without the bytes under repeats of smaller documents;
+    with `texts` also kept, the bytes left as text (a character cut in two reads as U+FFFD)."""
     def each(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, found: Occurrences) -> pa.Table:
         row, start, size, _, _, first = found
         mine = first < ids[row]
-        change = np.bincount(start[mine], minlength=len(data) + 1) - np.bincount(
-            start[mine] + size[mine], minlength=len(data) + 1)
-        gone = np.cumsum(change[:-1]) > 0
-        spans = gone.copy()
-        spans[1:] &= ~gone[:-1]
-        heads = offsets[:-1][np.diff(offsets) > 0]
-        spans[heads] = gone[heads]
-        removed, runs = (np.concatenate([[0], np.cumsum(x)]) for x in (gone, spans))
-        left = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-        return table_of("doc_id n_bytes n_removed n_spans kept_sha256 kept", (
-            ids, np.diff(offsets), removed[offsets[1:]] - removed[offsets[:-1]], runs[offsets[1:]] - runs[offsets[:-1]],
-            [hashlib.sha256(x).hexdigest() for x in left], [x.decode(errors="replace") for x in left]),
-            [*[_LONG] * 4, pa.string(), pa.string()])
-
-    out = per_chunk(docs, length, each, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-                    "kept string", **limits)
+        row, start, end = merged(row[mine], start[mine], start[mine] + size[mine])
+        removed = np.bincount(row, weights=end - start, minlength=len(ids)).astype(np.int64)
+        at, shas, kept, whole = np.searchsorted(row, np.arange(len(ids) + 1)), [], [], memoryview(data)
+        for i in range(len(ids)):
+            own = slice(at[i], at[i + 1])
+            edges = [offsets[i], *np.stack([start[own], end[own]], axis=1).ravel(), offsets[i + 1]]
+            left = b"".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+            shas.append(hashlib.sha256(left).hexdigest())
+            if texts:
+                kept.append(left.decode(errors="replace"))
+        out = table_of("doc_id n_bytes n_removed n_spans kept_sha256", (ids, np.diff(offsets), removed, np.diff(at), shas),
+                       [*[_LONG] * 4, pa.string()])
+        return out.append_column("kept", pa.array(kept, type=pa.string())) if texts else out
+
+    out = per_chunk(docs, length, each, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+                    + ", kept string" * texts, **limits)
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return without_repeats(docs).drop("kept")
+    return without_repeats(docs)
 
 
 # Windows as hexadecimal digits: DuckDB has no slices of blobs.

@@ -70,6 +70,12 @@ def test_awkward_texts(spark, awkward, limits, monkeypatch):
     assert got(op11_repeats.without_repeats(again, **limits)) == sorted(plain(pairs(again)), key=str)
 
 
+def test_texts_left(spark):
+    line = "0123456789" * 6
+    out = op11_repeats.without_repeats(h.frame(spark, [line, "a" + line + "b" + line, None]), texts=True)
+    assert {r["doc_id"]: r["kept"] for r in out.collect()} == {0: line, 1: "ab", 2: ""}
+
+
 def test_short_lengths_and_empty_tables(spark, awkward):
     few = awkward.where("length(text) < 300")
     assert got(op11_repeats.without_repeats(few, 12)) == sorted(plain(pairs(few), 12), key=str)
