@@ -13,7 +13,8 @@ links never outnumber the rows read; buckets beyond CELL rows are cut into chunk
 of their own.
 
 `deduplicated` links by the exact Jaccard similarity of shingle sets. A fingerprint only estimates it, too roughly to
-tell 0.75 from 0.8, so candidates come from bands of minimal hashes there and every link is told by the sets themselves.
+tell 0.75 from 0.8, so candidates come from bands of minimal hashes there, fingerprints and their pivot distances discard
+those that are far apart, and every link is told by the sets themselves.
 """
 
 from collections.abc import Iterator
@@ -36,9 +37,11 @@ GROUP_ROWS = 60_000
 BLOCK = 1 << 14
 BAND = 7
 MISS = 1e-5
-FIRST_BANDS = 4
-CELL_BYTES = 8 << 20
-GROUP_BYTES = 48 << 20
+CELL_BYTES = 4 << 20
+GROUP_BYTES = 12 << 20
+SET_BITS, SET_PIVOTS = 256, 8
+SET_RADIUS = 70
+LEAST_SET = 64
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -275,22 +278,36 @@ def set_node(hashes: np.ndarray) -> int:
 
 
 def shingled(docs: DataFrame, size: int, count: int, keep: tuple[str, ...]) -> DataFrame:
-    """_id, node (of the shingle set), n (bytes of text), keys, _row (unique) and the columns of `keep`, written."""
+    """_id, node (of the shingle set), n (bytes of text), keys, size (of the set), fp (words of its fingerprint), near (the
+    fingerprint's distances to the pivots), _row (unique) and the columns of `keep`, written."""
+    pivots = mix(np.arange(1, SET_PIVOTS * SET_BITS // 64 + 1, dtype=np.uint64)).reshape(SET_PIVOTS, -1)
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"), *keep)
     fields = [f for f in rows.schema if f.name not in ("_id", "_text")]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("_text").to_pylist()
-            sets = [shingle_set(x, size) for x in texts]
+            nodes_, keys, sizes, fps = [], [], [], np.zeros((len(texts), SET_BITS // 64), dtype=np.uint64)
+            for i, text in enumerate(texts):
+                own = shingle_set(text, size)
+                nodes_.append(set_node(own))
+                keys.append(band_keys(own, count).view(np.int64))
+                sizes.append(len(own))
+                # Small sets are never discarded by their fingerprints.
+                if len(own) >= LEAST_SET:
+                    fps[i] = fingerprint(own, SET_BITS)
+            near = [np.bitwise_count(fps ^ p).sum(axis=1, dtype=np.int32) for p in pivots]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array([set_node(x) for x in sets], type=pa.int64()),
-                 pa.array([len(x or "") for x in texts], type=pa.int64()),
-                 pa.array([band_keys(x, count).view(np.int64) for x in sets], type=pa.list_(pa.int64())),
-                 *(batch.column(f.name) for f in fields)], names=["_id", "node", "n", "keys", *(f.name for f in fields)])
+                [batch.column("_id"), pa.array(nodes_, type=pa.int64()),
+                 pa.array([len(x or "") for x in texts], type=pa.int64()), pa.array(keys, type=pa.list_(pa.int64())),
+                 pa.array(sizes, type=pa.int64()), pa.array(list(fps.view(np.int64)), type=pa.list_(pa.int64())),
+                 pa.array(list(np.stack(near, axis=1)), type=pa.list_(pa.int32())),
+                 *(batch.column(f.name) for f in fields)],
+                names=["_id", "node", "n", "keys", "size", "fp", "near", *(f.name for f in fields)])
 
     kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in fields)
-    made = rows.mapInArrow(add, f"_id long, node long, n long, keys array<long>{kinds}")
+    made = rows.mapInArrow(add, "_id long, node long, n long, keys array<long>, size long, fp array<long>, "
+                                f"near array<int>{kinds}")
     return written(made.withColumn("_row", F.monotonically_increasing_id()), "shingles")
 
 
@@ -335,19 +352,70 @@ def alike(cell: np.ndarray, chunk: np.ndarray, label: np.ndarray, sets: list[np.
     return out
 
 
+def not_far(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (rep, node) whose sets may be at the similarity.
+
+    Sizes tell some. For sets of LEAST_SET shingles or more so do the fingerprints: first any pivot distance that differs
+    by more than the radius, then the distance itself. At 0.8 it is 39 of 256 bits on average with a spread of 6, so
+    SET_RADIUS is five spreads away.
+    """
+    both = (pairs.join(sketches.select(*(F.col(c).alias(f"{c}_a") for c in sketches.columns)).withColumnRenamed("node_a", "rep"),
+                       "rep").join(sketches, "node"))
+    apart = F.aggregate(F.zip_with("near", "near_a", lambda x, y: F.abs(x - y)), F.lit(0), lambda x, y: F.greatest(x, y))
+    distance = F.aggregate(F.zip_with("fp", "fp_a", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    small, large = F.least("size", "size_a"), F.greatest("size", "size_a")
+    return both.where((small >= similarity * large - 1e-9) & (small > 0) & (
+        (small < LEAST_SET) | ((apart <= SET_RADIUS) & (distance <= SET_RADIUS)))).select("rep", "node", "n")
+
+
+def similar(one: np.ndarray, other: np.ndarray, similarity: float) -> bool:
+    both = len(np.intersect1d(one, other, assume_unique=True))
+    return both >= similarity * (len(one) + len(other) - both) - 1e-9
+
+
+def star_links(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """node_a, node_b: the pairs (rep, node, n bytes) at the similarity or more.
+
+    The nodes of one rep are dealt out over as many cells as their bytes ask for; each has the rep's text.
+    """
+    held = pairs.groupBy("rep").agg(F.ceil((F.sum("n") + 1) / CELL_BYTES).cast("int").alias("cells"))
+    placed = pairs.join(held, "rep").select("rep", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int").alias("cell"), "node")
+    placed = written(placed.unionByName(placed.select("rep", "cell", F.col("rep").alias("node")).distinct()), "star-cells")
+    groups = max(1, -(-(placed.join(texts, "node").agg(F.sum(F.octet_length("text"))).first()[0] or 0) // GROUP_BYTES))
+    both = placed.withColumn("group", F.pmod(F.xxhash64("rep", "cell"), F.lit(groups))).join(texts, "node")
+
+    def find(group: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for (rep, _), own in group.groupby(["rep", "cell"]):
+            mine = shingle_set(own["text"][own["node"] == rep].iat[0], size)
+            out += [(rep, n) for n, t in zip(own["node"], own["text"], strict=True)
+                    if n != rep and similar(mine, shingle_set(t, size), similarity)]
+        return pd.DataFrame(out, columns=["node_a", "node_b"], dtype="int64")
+
+    return both.groupBy("group").applyInPandas(find, "node_a long, node_b long")
+
+
 def jaccard_links(keys: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
     """node_a, node_b: links that join all sets that share a key and are at the similarity or more.
 
     `keys`: key, node, label (rows of one label are joined already) and n (bytes of text), a written table; keys met by
-    one label alone are passed over. `texts`: node and text.
+    one label alone are passed over. `texts`: node and text. Where a key's rows exceed a cell, those of its largest label
+    and all others are cut into chunks of their own, and no two chunks of the largest label meet.
     """
-    crowded = keys.groupBy("key").agg(F.sum("n").alias("bytes"), F.min("label").alias("least"), F.max("label").alias("most"))
-    crowded = written(crowded.where("least <> most").select(
-        "key", F.ceil((F.col("bytes") + 1) / CELL_BYTES).cast("int").alias("chunks")), "jaccard-buckets")
-    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    met = (keys.join(crowded, "key").withColumn("chunk", own)
-           .withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
-           .select("node", "label", "n", F.when(F.col("chunks") > 1, F.col("chunk")).otherwise(-1).alias("chunk"),
+    labels = keys.groupBy("key", "label").agg(F.sum("n").alias("bytes"))
+    crowded = labels.groupBy("key").agg(F.max_by("label", "bytes").alias("main"), F.max("bytes").alias("most"),
+                                        F.sum("bytes").alias("all"), F.count("*").alias("labels")).where("labels > 1")
+    cells = [F.ceil((F.col(c) + 1) / CELL_BYTES).cast("int") for c in ("most", "rest")]
+    crowded = written(crowded.withColumn("rest", F.col("all") - F.col("most")).select(
+        "key", "main", F.when(F.col("all") < CELL_BYTES, 0).otherwise(cells[0]).alias("mains"), cells[1].alias("others")),
+        "jaccard-buckets")
+    hashed, main = F.xxhash64("node"), F.col("label") == F.col("main")
+    own = (F.when(F.col("mains") == 0, 0).when(main, F.pmod(hashed, F.col("mains")))
+           .otherwise(F.col("mains") + F.pmod(hashed, F.col("others"))).cast("int"))
+    meets = F.expr("""CASE WHEN mains = 0 THEN array(0) WHEN label = main THEN sequence(mains, mains + others - 1)
+                      ELSE sequence(0, mains + others - 1) END""")
+    met = (keys.join(crowded, "key").withColumn("chunk", own).withColumn("other", F.explode(meets))
+           .select("node", "label", "n", F.when(F.col("mains") > 0, F.col("chunk")).otherwise(-1).alias("chunk"),
                    (F.col("other") == F.col("chunk")).alias("inner"),
                    F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("cell")))
     met = written(met, "jaccard-cells")
@@ -357,11 +425,11 @@ def jaccard_links(keys: DataFrame, texts: DataFrame, size: int, similarity: floa
     def find(group: pd.DataFrame) -> pd.DataFrame:
         nodes_, first = np.unique(group["node"].to_numpy(), return_index=True)
         known = {n: shingle_set(group["text"].iat[i], size) for n, i in zip(nodes_.tolist(), first.tolist())}
-        ids, cells = group["node"].to_numpy(), group["cell"].to_numpy()
+        ids, cells_ = group["node"].to_numpy(), group["cell"].to_numpy()
         # A chunk that meets itself is compared whole; where two chunks meet, only rows of different ones.
-        mixed = pd.Series(~group["inner"].to_numpy()).groupby(cells).transform("any").to_numpy()
+        mixed = pd.Series(~group["inner"].to_numpy()).groupby(cells_).transform("any").to_numpy()
         chunk = np.where(mixed, group["chunk"].to_numpy(), -1)
-        found = alike(cells, chunk, group["label"].to_numpy(), [known[n] for n in ids.tolist()], similarity)
+        found = alike(cells_, chunk, group["label"].to_numpy(), [known[n] for n in ids.tolist()], similarity)
         a, b = np.array(found, dtype=np.int64).reshape(-1, 2).T
         return pd.DataFrame({"node_a": ids[a], "node_b": ids[b]})
 
@@ -373,8 +441,13 @@ def deduplicated(docs: DataFrame, similarity: float = 0.8, size: int = 5) -> Dat
 
     Documents are linked if the exact Jaccard similarity of their sets of `size`-word shingles is `similarity` or more.
     A pair is a candidate if it shares a band of minimal hashes; one at the very similarity shares none with a chance
-    of MISS at most, closer ones far more rarely. Equal sets are one node. Texts are compared in two rounds: what the
-    first few bands join need not be compared again in the others.
+    of MISS at most, closer ones far more rarely. Equal sets are one node. Texts are compared in two rounds: first each
+    with the smallest node it shares a band with, if their fingerprints are not far apart; then only where a band is
+    still shared by rows that are not joined.
+
+    Null and empty texts, and texts without words: one empty set, of which one row stays. Repeated rows are copies of
+    each other; exactly one row of a group stays. Null doc_id: after all others. An empty table: no rows. All columns
+    stay as they are, whatever their names.
     """
     rows, names = set_aside(docs, "doc_id", "text")
     text = f"in_{docs.columns.index('text')}"
@@ -382,19 +455,19 @@ def deduplicated(docs: DataFrame, similarity: float = 0.8, size: int = 5) -> Dat
     name = F.struct(F.col("_id").isNull().alias("missing"), F.col("_id").alias("id"), F.col("_row").alias("row"))
     distinct = written(rows.groupBy("node").agg(F.min(name).alias("least")), "shingles-once")
     first = distinct.select(F.col("least")["row"].alias("_row"))
-    keys = written(rows.join(first, "_row", "left_semi").select("node", "n", F.posexplode("keys").alias("band", "key")),
-                   "shingles-keys")
+    keys = rows.select("_row", "node", "n", "keys").join(first, "_row", "left_semi")
+    keys = written(keys.select("node", "n", F.explode("keys").alias("key")), "shingles-keys")
     # Most keys are met once; only the others need the texts.
-    shared = keys.groupBy("key").count().where(F.col("count") > 1)
-    keys = written(keys.join(shared.select("key"), "key", "left_semi"), "shingles-shared")
-    wanted = keys.select("node").distinct().join(distinct, "node").select("node", F.col("least")["row"].alias("_row"))
-    texts = written(rows.select("_row", F.col(text).cast("string").alias("text")).join(wanted, "_row").drop("_row"),
-                    "shingles-texts")
-    early = written(keys.where(F.col("band") < FIRST_BANDS).select("key", "node", "n", F.col("node").alias("label")),
-                    "shingles-early")
-    edges = written(jaccard_links(early, texts, size, similarity), "shingles-links")
-    late = keys.where(F.col("band") >= FIRST_BANDS).join(stars(edges), "node", "left").select(
-        "key", "node", "n", F.coalesce("root", "node").alias("label"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("rows"), F.min("node").alias("rep")).where("rows > 1").drop("rows")
+    keys = written(keys.join(shared, "key"), "shingles-shared")
+    wanted = keys.select("node").distinct().join(distinct, "node").select(F.col("least")["row"].alias("_row"))
+    wanted = rows.join(wanted, "_row", "left_semi")
+    texts = written(wanted.select("node", F.col(text).cast("string").alias("text")), "shingles-texts")
+    sketches = written(wanted.select("node", "size", "fp", "near"), "shingles-sketches")
+    pairs = written(not_far(keys.where("node <> rep").select("rep", "node", "n").distinct(), sketches, similarity),
+                    "shingles-pairs")
+    edges = written(star_links(pairs, texts, size, similarity), "shingles-links")
+    late = keys.join(stars(edges), "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("label"))
     more = jaccard_links(written(late, "shingles-late"), texts, size, similarity)
     members = distinct.join(stars(edges.union(more)), "node", "left").select(
         F.coalesce("root", "node").alias("root"), "least")

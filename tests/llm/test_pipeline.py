@@ -45,19 +45,18 @@ def test_no_near_duplicates_are_left(kept):
         for i, own in sets.items():
             for s in own:
                 where.setdefault(s, []).append(i)
-        close = {(a, b) for own in where.values() if len(own) < 200 for a in own for b in own if a < b}
+        close = {(a, b) for own in where.values() for a in own for b in own if a < b}
         return {(a, b) for a, b in close if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])}
 
-    assert not pairs(after, 0.9)
-    assert len(pairs(after, 0.8)) <= 0.05 * max(1, len(pairs(before, 0.8)))
-    linked = {i for pair in pairs(before, 0.6) for i in pair}
+    assert not pairs(after, 0.8)
+    linked = {i for pair in pairs(before, 0.8) for i in pair}
     assert all(i in after for i in before if i not in linked)
 
 
 def test_no_window_is_left(spark, kept):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     found = h.windows([r["text"] for r in kept[2].collect()], items)
-    assert sum(bool(hit) for _, hit, _ in found) <= 2
+    assert not any(hit for _, hit, _ in found)
 
 
 def test_run_gives_all_rows_of_the_mix(spark, kept):
