@@ -1,5 +1,8 @@
 """Lookups on log lines: address to area, user agent to os, device and browser."""
 
+import heapq
+
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -9,6 +12,7 @@ from tagweave.operators.joins import DEFAULT_BOUND, Bound, fits, lookup_join, ra
 from tagweave.session import written
 
 UNKNOWN_AREA = "unknown"
+BLOCK = 1 << 16
 
 
 def address_ranges(cidr: DataFrame) -> DataFrame:
@@ -29,6 +33,60 @@ def overlapping(areas: DataFrame) -> DataFrame:
             .where("lo <= _reach").select(*areas.columns).distinct())
 
 
+def most_specific(areas: DataFrame) -> DataFrame:
+    """Ranges (lo, hi, area) that may nest or overlap, cut into disjoint pieces: the narrowest range gives the area.
+
+    Of ranges of one width that overlap, the one that starts last wins, then the area that sorts first. Ranges are cut
+    at blocks of 65,536 addresses, and each block is swept in a task by itself. A range that covers whole blocks sends
+    none of them to a sweep: per block, an aggregate with map-side combine finds the narrowest such range, which is the
+    whole answer unless narrower ranges begin or end in the block. Null or reversed bounds match nothing.
+    """
+    known = areas.where("lo <= hi").select(F.col("lo").cast("bigint"), F.col("hi").cast("bigint"), "area")
+    order = F.struct((F.col("hi") - F.col("lo")).alias("width"), (-F.col("lo")).alias("start"), F.col("area").alias("name"))
+    first, last = F.expr(f"(lo + {BLOCK - 1}) div {BLOCK}"), F.expr(f"(hi + 1) div {BLOCK} - 1")
+    placed = known.withColumn("rank", order)
+    whole = (placed.where(first <= last).withColumn("block", F.explode(F.sequence(first, last)))
+             .groupBy("block").agg(F.min("rank").alias("rank")))
+    ends = F.array_distinct(F.array(F.expr(f"lo div {BLOCK}"), F.expr(f"hi div {BLOCK}")))
+    parts = placed.withColumn("block", F.explode(ends)).where((F.col("block") < first) | (F.col("block") > last))
+    start = F.col("block") * BLOCK
+    parts = parts.select("block", F.greatest("lo", start).alias("lo"), F.least("hi", start + BLOCK - 1).alias("hi"), "rank").distinct()
+    swept = parts.select("block").distinct()
+    behind = whole.select("block", start.alias("lo"), (start + BLOCK - 1).alias("hi"), "rank")
+    alone = behind.join(swept, "block", "left_anti").select("lo", "hi", F.col("rank.name").alias("area"))
+    swept = parts.unionByName(behind.join(swept, "block", "left_semi")).select("block", "lo", "hi", "rank.*")
+    return alone.unionByName(swept.groupBy("block").applyInPandas(_swept, known.schema))
+
+
+def _swept(block: pd.DataFrame) -> pd.DataFrame:
+    """The ranges of a block, in order of their starts; at each bound the narrowest open range goes on."""
+    rows = sorted(zip(block["lo"], block["hi"], block["width"], block["start"], block["name"].fillna(""),
+                      block["name"].isna(), strict=True))
+    bounds = sorted({lo for lo, *_ in rows} | {hi + 1 for _, hi, *_ in rows})
+    opened, pieces, at = [], [], 0
+    for low, after in zip(bounds, bounds[1:]):
+        while at < len(rows) and rows[at][0] == low:
+            lo, hi, *rank, empty = rows[at]
+            heapq.heappush(opened, (*rank[:2], not empty, rank[2], hi))
+            at += 1
+        while opened and opened[0][-1] < low:
+            heapq.heappop(opened)
+        if not opened:
+            continue
+        own = opened[0][:4]
+        if pieces and pieces[-1][1] == low - 1 and pieces[-1][2] == own:
+            pieces[-1][1] = after - 1
+        else:
+            pieces.append([low, after - 1, own])
+    return pd.DataFrame([(lo, hi, own[3] if own[2] else None) for lo, hi, own in pieces], columns=["lo", "hi", "area"])
+
+
+def add_nested_area(df: DataFrame, areas: DataFrame, ip: str = "ip", fallback: str = UNKNOWN_AREA,
+                    bound: Bound = DEFAULT_BOUND) -> DataFrame:
+    """As `add_area`, for ranges that nest or overlap: the narrowest that holds the address."""
+    return add_area(df, written(most_specific(areas), "areas"), ip, fallback, bound)
+
+
 def add_area(df: DataFrame, areas: DataFrame, ip: str = "ip", fallback: str = UNKNOWN_AREA,
              bound: Bound = DEFAULT_BOUND) -> DataFrame:
     """Add `area` by disjoint address ranges (lo, hi, area); `fallback` elsewhere."""

@@ -113,6 +113,10 @@ def _level() -> Column:
     return F.least(F.length(F.bin(F.expr("hi - lo"))), F.lit(62))
 
 
+def _bucket(name: str, level: int) -> Column:
+    return F.expr(f"`{name}` div {1 << level}L")
+
+
 def range_join(fact: DataFrame, value: str, ranges: DataFrame, how: str = "inner",
                bound: Bound = DEFAULT_BOUND, small: bool | None = None,
                keep: list[str] | None = None) -> DataFrame:
@@ -121,9 +125,8 @@ def range_join(fact: DataFrame, value: str, ranges: DataFrame, how: str = "inner
     Ranges are put into width classes, each cut into buckets as wide as its widest, so
     a range fills at most two buckets, and one wide range does not crowd many narrow
     ones together. Value and range then meet through one equi-join on the bucket for
-    each class instead of a nested loop. With several classes (63 at most) each join
-    brings the bucket's ranges as an array, so that the rows stay as they are until all
-    are found. Ranges with a null or reversed bound match nothing; a null value matches
+    each class instead of a nested loop. Several classes (63 at most) are matched as
+    arrays, see `range_matches`. Ranges with a null or reversed bound match nothing; a null value matches
     nothing. `small=False` rules the broadcast out; it is measured otherwise.
     """
     ranges = ranges.where("lo <= hi")
@@ -131,25 +134,37 @@ def range_join(fact: DataFrame, value: str, ranges: DataFrame, how: str = "inner
     keep = keep or fact.columns
     classes = _width_classes(ranges, bound) or [(0, 62, True)]
 
-    def bucket(name, level):
-        return F.expr(f"`{name}` div {1 << level}L")
-
-    def buckets(low, high):
-        own = ranges.where(_level().between(low, high)) if len(classes) > 1 else ranges
-        return own.withColumn("_bucket", F.explode(F.sequence(bucket("lo", high), bucket("hi", high))))
-
     if len(classes) == 1:
-        low, high, fit = classes[0]
+        _, high, fit = classes[0]
         inside = F.col(f"f.{value}").between(F.col("l.lo"), F.col("l.hi"))
-        return lookup_join(fact.withColumn("_bucket", bucket(value, high)), buckets(low, high), ["_bucket"], how,
+        buckets = ranges.withColumn("_bucket", F.explode(F.sequence(_bucket("lo", high), _bucket("hi", high))))
+        return lookup_join(fact.withColumn("_bucket", _bucket(value, high)), buckets, ["_bucket"], how,
                            fit and small is not False, inside, keep, payload)
-    found = []
+    matched = range_matches(fact, value, ranges, "_inside", bound, small)
+    each = (F.explode if how == "inner" else F.explode_outer)(F.col("_inside"))
+    return matched.select(*keep, each.alias("_one")).select(*keep, *[F.col(f"_one.{c}") for c in payload])
+
+
+def range_matches(fact: DataFrame, value: str, ranges: DataFrame, into: str, bound: Bound = DEFAULT_BOUND,
+                  small: bool | None = None) -> DataFrame:
+    """The fact with the array column `into`: all ranges (lo, hi, payload.. as structs) that hold `fact[value]`.
+
+    A row stays one row however many ranges match, so several matches in turn never multiply. Each width class brings
+    the ranges of the value's bucket, in order of `lo`, as one array; classes are as wide as their ranges, so a bucket
+    holds little more than the ranges a value in it can meet. No match, or a null value: an empty array.
+    """
+    ranges = ranges.where("lo <= hi")
+    columns, found = fact.columns, []
+    payload = [c for c in ranges.columns if c not in ("lo", "hi")]
+    classes = _width_classes(ranges, bound) or [(0, 62, True)]
     for low, high, fit in classes:
         found.append(f"_found_{high}")
-        held = buckets(low, high).groupBy("_bucket").agg(F.collect_list(F.struct("lo", "hi", *payload)).alias(found[-1]))
-        fact = lookup_join(fact.withColumn("_bucket", bucket(value, high)), held, ["_bucket"], "left",
+        own = ranges.where(_level().between(low, high)) if len(classes) > 1 else ranges
+        held = (own.withColumn("_bucket", F.explode(F.sequence(_bucket("lo", high), _bucket("hi", high))))
+                .groupBy("_bucket").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", *payload))).alias(found[-1])))
+        fact = lookup_join(fact.withColumn("_bucket", _bucket(value, high)), held, ["_bucket"], "left",
                            fit and small is not False, keep=fact.columns)
     near = F.flatten(F.array_compact(F.array(*found)))
     inside = F.filter(near, lambda r: F.col(value).between(r["lo"], r["hi"]))
-    each = (F.explode if how == "inner" else F.explode_outer)(inside)
-    return fact.select(*keep, each.alias("_one")).select(*keep, *[F.col(f"_one.{c}") for c in payload])
+    return fact.select(*columns, F.when(F.col(value).isNotNull(), inside).otherwise(F.filter(near, lambda r: F.lit(False)))
+                       .alias(into))

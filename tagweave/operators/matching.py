@@ -8,7 +8,7 @@ with a null tag. A rule id becomes text, the form in which tags are stored.
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DecimalType, FractionalType, IntegralType
 
-from tagweave.operators.joins import DEFAULT_BOUND, Bound, fits, lookup_join, range_join
+from tagweave.operators.joins import DEFAULT_BOUND, Bound, fits, lookup_join, range_join, range_matches
 
 
 def _comparable(df: DataFrame, attribute: Column) -> str:
@@ -55,6 +55,14 @@ def attach_range(df: DataFrame, value: Column, ranges: DataFrame, tag: str, how:
     return range_join(valued, "_value", lookup, how, bound, small, keep=df.columns)
 
 
+def attach_ranges(df: DataFrame, value: Column, ranges: DataFrame, tags: str, bound: Bound = DEFAULT_BOUND,
+                  small: bool | None = None) -> DataFrame:
+    """Add the array `tags` by closed numeric ranges (id, lo, hi): a row stays one row however many overlap."""
+    lookup = ranges.select("lo", "hi", F.col("id").cast("string").alias("id"))
+    found = range_matches(df.withColumn("_value", value.cast("bigint")), "_value", lookup, "_matches", bound, small)
+    return found.select(*df.columns, F.col("_matches.id").alias(tags))
+
+
 def tag_equal(df: DataFrame, key: str, attribute: str, rules: DataFrame, how: str = "left",
               bound: Bound = DEFAULT_BOUND) -> DataFrame:
     """(userId, tagsId) by equality rules (id, rule)."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from tagweave.functions import tag_sets, text
 from tagweave.operators import rules as rule_ops
 from tagweave.operators.joins import lookup_join
-from tagweave.operators.matching import attach_equal, attach_range
+from tagweave.operators.matching import attach_equal, attach_range, attach_ranges
 from tagweave.operators.merging import collapse, merge_into_store, merge_tags, stored_text
 from tagweave.operators.rules import RuleTree
 from tagweave.operators.statistics import nth_most_frequent, recency_and_favourite, recency_days
@@ -109,6 +109,17 @@ def _attach(df: DataFrame, job: TagJob, tree: RuleTree, how: str) -> DataFrame:
     return attach_range(df, attribute, rule_ops.number_ranges(rules), job.column, how, tree.bound, tree.small)
 
 
+def attach(df: DataFrame, job: TagJob, tree: RuleTree) -> DataFrame:
+    """Add the job's column as the array of all tags a row gets; the rows stay as many as they are."""
+    if job.match == EQUAL:
+        tagged = _attach(df, job, tree, "left")
+        return tagged.withColumn(job.column, F.array_compact(F.array(job.column)))
+    attribute, ranges = F.col(job.attribute), rule_ops.number_ranges
+    if job.match == DATES:
+        attribute, ranges = text.day_number(text.compact_date(text.strip_dashes(attribute.cast("string")))), rule_ops.date_ranges
+    return attach_ranges(df, attribute, ranges(tree.children(job.tag_id)), job.column, tree.bound, tree.small)
+
+
 def compute(job: TagJob, source: DataFrame, tree: RuleTree, options: RunOptions = RunOptions()) -> DataFrame:
     """(userId, tagsId): every tag each entity gets from one job."""
     entities = _statistics(source, [job], options) if job.statistic else source
@@ -175,14 +186,10 @@ def run_jobs(jobs: list[TagJob], tree: RuleTree, read: Reader, stored: DataFrame
     rows = stored.select("userId", texts.alias("found"), numbers.alias("touched"),
                          F.col("tagsId").alias("old"), F.lit(True).alias("kept"))
     for spec, members in _source_groups(jobs, tree, options.rank):
-        tagged = _statistics(read(spec), members, options)
-        for job in members:
-            tagged = _attach(tagged, job, tree, "left")
-        found = F.array_compact(F.array(*[job.column for job in members]))
-        touched = F.array_compact(F.array(*[_touched(job, options.drop_stale) for job in members]))
+        tagged = tagged_rows(_statistics(read(spec), members, options), members, tree, options)
         rows = rows.unionByName(tagged.select(
-            F.col(members[0].key).cast(user_type).alias("userId"), found.alias("found"),
-            touched.alias("touched"), F.lit(None).cast("string").alias("old"), F.lit(False).alias("kept")))
+            F.col("userId").cast(user_type).alias("userId"), "found", "touched",
+            F.lit(None).cast("string").alias("old"), F.lit(False).alias("kept")))
 
     # Sets, not lists: copies of a user's rows collapse on the map side already.
     per_user = rows.where(F.col("userId").isNotNull()).groupBy("userId").agg(
@@ -197,6 +204,17 @@ def run_jobs(jobs: list[TagJob], tree: RuleTree, read: Reader, stored: DataFrame
     return merged.select("userId", tags.alias("tagsId"))
 
 
+def tagged_rows(entities: DataFrame, jobs: list[TagJob], tree: RuleTree, options: RunOptions) -> DataFrame:
+    """(userId, found, touched) of each row: the tags of all jobs, and the categories they clear."""
+    tagged = entities
+    for job in jobs:
+        tagged = attach(tagged, job, tree)
+    # Equality rules of one code may be several; a range match never makes more rows.
+    found = F.flatten(F.array(*[job.column for job in jobs]))
+    touched = F.array_compact(F.array(*[_touched(job, options.drop_stale) for job in jobs]))
+    return tagged.select(F.col(jobs[0].key).alias("userId"), found.alias("found"), touched.alias("touched"))
+
+
 def _touched(job: TagJob, drop_stale: bool):
     """The category a row clears in the stored tags, null for none.
 
@@ -204,7 +222,7 @@ def _touched(job: TagJob, drop_stale: bool):
     """
     if drop_stale and job.how == "left":
         return F.lit(job.tag_id)
-    return F.when(F.col(job.column).isNotNull(), job.tag_id)
+    return F.when(F.size(job.column) > 0, job.tag_id)
 
 
 def _drop_touched(per_user: DataFrame, jobs: list[TagJob], tree: RuleTree) -> DataFrame:

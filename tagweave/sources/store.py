@@ -11,8 +11,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagweave.operators.upsert import upsert
-
 MARKERS = "_versions"
 # Seconds for which the files of an expired version stay for readers that hold it.
 GRACE = 3600
@@ -98,50 +96,12 @@ class VersionedTable:
                     path(f"{self.path}/{name}/_SUCCESS")):
                 fs.delete(status.getPath(), True)
 
-    def upsert(self, rows: DataFrame, key: str) -> int:
-        """Replace rows whose key is given, add new keys, keep the others."""
-        committed = self.versions()
-        return self.write(upsert(self.read(committed[-1]), rows, key) if committed else rows)
-
-
-class ChangeTable(VersionedTable):
-    """A keyed table whose versions hold changed rows only; the newest row of a key counts.
-
-    A write costs what changed. Reading gathers the versions, and once there are
-    `compact_after` of them they are written as one. A repeated write of the same
-    rows leaves the same state.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, key: str, compact_after: int = 50):
-        super().__init__(spark, path)
-        self.key = key
-        self.compact_after = compact_after
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """The state after all committed versions, or after those up to `version`."""
-        committed = [n for n in self.versions() if version is None or n <= version]
-        if not committed:
-            raise LookupError(f"no committed version in {self.path}")
-        changes = None
-        for number in committed:
-            rows = super().read(number).select(F.lit(number).alias("_version"), F.struct("*").alias("row"))
-            changes = rows if changes is None else changes.unionByName(rows)
-        newest = changes.groupBy(F.col(f"row.{self.key}").alias("_key")).agg(F.max_by("row", "_version").alias("row"))
-        return newest.select("row.*")
-
-    def change(self, rows: DataFrame) -> int:
-        version = self.write(rows)
-        if len(self.versions()) > self.compact_after:
-            version = self.write(self.read())
-            self.expire(1)
-        return version
-
 
 def upsert_table(df: DataFrame, table: str, key: str) -> None:
     """Keyed upsert into a catalog table whose format has row-level updates.
 
-    Such a format rewrites only the files that hold a given key; `VersionedTable`
-    is for plain Parquet, where a new state is written whole.
+    Such a format rewrites only the files that hold a given key; in plain Parquet
+    `buckets.BucketTable` rewrites only the buckets that do.
     """
     merge = df.alias("given").mergeInto(table, F.expr(f"{table}.{key} = given.{key}"))
     merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()

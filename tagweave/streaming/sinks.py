@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tagweave.sources.scans import write_jdbc
-from tagweave.sources.store import ChangeTable, VersionedTable
+from tagweave.sources.buckets import BUCKETS, BucketTable
+from tagweave.sources.store import VersionedTable
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -69,9 +70,12 @@ def versioned_sink(path: str, keep: int = 2) -> BatchSink:
     return write
 
 
-def keyed_sink(path: str, key: str, compact_after: int = 50) -> BatchSink:
-    """The changed rows of each batch as changes of a keyed table, for mode `update`; see `ChangeTable`."""
-    return lambda batch, batch_id: ChangeTable(batch.sparkSession, path, key, compact_after).change(batch)
+def keyed_sink(path: str, key: str, buckets: int = BUCKETS) -> BatchSink:
+    """The changed rows of each batch put in by key, for mode `update`; a repeated batch gives the same state.
+
+    Only buckets that hold a changed key are rewritten; see `BucketTable`.
+    """
+    return lambda batch, batch_id: BucketTable(batch.sparkSession, path, key, buckets).upsert(batch)
 
 
 def jdbc_sink(url: str, table: str, properties: dict | None = None) -> BatchSink:

@@ -7,7 +7,8 @@ from tagweave.functions import behaviour
 from tagweave.plans import run_tags
 from tagweave.plans.tag_jobs import NUMBERS, TagJob
 from tagweave.session import scratch_path
-from tagweave.sources.store import ChangeTable, VersionedTable
+from tagweave.sources.buckets import BucketTable
+from tagweave.sources.store import VersionedTable
 from tagweave.streaming import run_stream
 from workload import tables
 
@@ -38,7 +39,7 @@ def test_stream_run_over_two_runs(spark, mode):
     for records in (first, first[:1]):
         spark.createDataFrame(records, "value string").write.mode("append").text(f"{path}/in")
         run_stream.main(arguments).awaitTermination()
-    store = ChangeTable(spark, f"{path}/store", "user_id") if mode == "update" else VersionedTable(spark, f"{path}/store")
+    store = BucketTable(spark, f"{path}/store", "user_id") if mode == "update" else VersionedTable(spark, f"{path}/store")
     assert rows(store.read().select("user_id", "is_buy_cnt")) == [(1, "b"), (2, "a")]
 
 
@@ -48,15 +49,6 @@ def test_stream_arguments_are_checked():
             run_stream.arguments([*wrong, "--store", "s", "--checkpoint", "c"])
 
 
-def test_changes_repeat_compact_and_keep_null_keys(spark):
-    table = ChangeTable(spark, scratch_path(spark, "changes"), "k", compact_after=2)
-    batches = [[("a", 1), ("b", 1)], [("a", 2)], [("a", 2)], [(None, 3)], [("c", 4)]]
-    for batch in batches:
-        table.change(spark.createDataFrame(batch, "k string, n int"))
-    got = {r["k"]: r["n"] for r in table.read().collect()}
-    assert got == {"a": 2, "b": 1, None: 3, "c": 4} and len(table.versions()) <= 2
-
-
 def test_rejected_events_are_apart(spark):
     texts = [('{"user_id": "a", "area": {"city": "x"}}',), ("no json",), ('{"user_id": "b"',), (None,), ("",), ("7",)]
     events = spark.createDataFrame(texts, "value string")

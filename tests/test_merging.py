@@ -61,10 +61,10 @@ def test_store_versions(spark):
     with pytest.raises(LookupError):
         store.read()
     new = spark.createDataFrame([(1, "26"), (3, "24")], PAIR)
-    assert store.upsert(spark.createDataFrame([(1, "24,8"), (2, "25")], PAIR), "userId") == 0
-    assert store.upsert(new, "userId") == 1
+    assert store.write(spark.createDataFrame([(1, "24,8"), (2, "25")], PAIR)) == 0
+    assert store.write(upsert(store.read(), new, "userId")) == 1
     assert pairs(store.read()) == {1: "26", 2: "25", 3: "24"}
-    store.upsert(new, "userId")
+    store.write(upsert(store.read(), new, "userId"))
     assert pairs(store.read()) == {1: "26", 2: "25", 3: "24"}
     assert pairs(store.read(0)) == {1: "24,8", 2: "25"}
     store.expire(2)

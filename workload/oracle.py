@@ -88,6 +88,11 @@ MIXED = """areas AS (SELECT DISTINCT address - address % n AS lo, address - addr
   'area-' || (address - address % n) AS area FROM (SELECT
     167772160 + c_custkey % 4 * 65536 + c_custkey // 256 % 256 * 256 + c_custkey % 256 AS address,
     CASE c_custkey % 4 WHEN 3 THEN 65536 WHEN 2 THEN 256 ELSE 1 END AS n FROM customer))"""
+NESTED = """areas AS (SELECT DISTINCT address - address % n AS lo, address - address % n + n - 1 AS hi,
+  'area-' || n || '-' || (address - address % n) AS area FROM (SELECT
+    167772160 + c_custkey % 4 * 65536 + c_custkey // 256 % 256 * 256 + c_custkey % 256 AS address,
+    CASE WHEN c_custkey % 5 = 0 THEN 1 WHEN c_custkey % 5 = 1 THEN 256
+      WHEN c_custkey % 5 = 2 AND c_custkey % 4 < 3 THEN 65536 ELSE 16777216 END AS n FROM customer))"""
 NUMBERED = """numbered AS (SELECT *, CAST(split_part(ip, '.', 1) AS BIGINT) * 16777216
   + CAST(split_part(ip, '.', 2) AS BIGINT) * 65536 + CAST(split_part(ip, '.', 3) AS BIGINT) * 256
   + CAST(split_part(ip, '.', 4) AS BIGINT) AS number FROM parsed)"""
@@ -267,6 +272,7 @@ ORACLE = {
     "scan_pruned": "SELECT o_orderkey, o_custkey FROM orders",
     "tag_upsert": _with(USERS, RULES, STORED, GENDER, UPSERTED),
     "tag_store_write": _with(USERS, RULES, STORED, GENDER, UPSERTED),
+    "tag_upsert_buckets": _with(USERS, RULES, STORED, GENDER, UPSERTED),
     "rule_children": _with(DERIVED_RULES, "SELECT pid AS parent, id, rule FROM derived_rules"),
     "rule_decode": _with(DERIVED_SOURCES, "SELECT id, " + ", ".join(
         f"regexp_extract(rule, '(?:^|##){key}=([^#]*)', 1) AS {key}" for key in
@@ -336,6 +342,10 @@ ORACLE = {
   coalesce(area, 'unknown') AS area FROM numbered LEFT JOIN areas ON number BETWEEN lo AND hi"""),
     "ip_area_mixed_widths_shuffled": _with(LINES, PARSED, NUMBERED, MIXED, """SELECT ip, sendbytes,
   coalesce(area, 'unknown') AS area FROM numbered LEFT JOIN areas ON number BETWEEN lo AND hi"""),
+    "ip_area_nested": _with(LINES, PARSED, NUMBERED, NESTED, """placed AS (SELECT number,
+  arg_min(area, hi - lo) AS area FROM (SELECT DISTINCT number FROM numbered) JOIN areas ON number BETWEEN lo AND hi
+  GROUP BY number)""", """SELECT ip, sendbytes, coalesce(area, 'unknown') AS area
+  FROM numbered LEFT JOIN placed USING (number)"""),
     "user_agent_classify": _with(LINES, PARSED, f"SELECT sendbytes, useragent, {_agent_columns('useragent')} FROM parsed"),
     "access_metrics": _with(LINES, PARSED, NUMBERED, AREA_ROWS, ACCESS),
     "event_json_parse": _with(RECORDS, FLAT, "SELECT * FROM flat"),
@@ -374,6 +384,21 @@ ORACLE = {
     "tag_marriage": _with(USERS, RULES, STORED, _equal("new", "users", "id", "marriage", 66, "LEFT"),
                           _merge("new", 66)),
     "tag_full_run": _full_run(),
+    # The orders as they are after all changes, read whole.
+    "tag_incremental_run": _with(PAY_ORDERS.replace("pay_orders AS", "all_orders AS"), f"""pay_orders AS (
+  SELECT memberid, CASE WHEN changed THEN finishtime + 40 * 86400 ELSE finishtime END AS finishtime,
+    CASE WHEN changed THEN 'other' ELSE paymentcode END AS paymentcode
+  FROM (SELECT *, created_at < TIMESTAMP '{SINCE}' AS known, known AND ordersn % 7 = 1 AS changed FROM all_orders)
+  WHERE NOT (known AND ordersn % 7 = 0))""", RULES, NUMBER_RANGES, DAYS, COUNTS, RANKED, _favourite(1), CYCLE_NEW,
+                                 _equal("paid", "favourite", "memberid", "paymentcode", 30, "LEFT"),
+                                 "both_new AS (SELECT * FROM cycle_new UNION ALL SELECT * FROM paid)",
+                                 _collapsed("new", "both_new"), """SELECT userId, new.tagsId FROM (
+  SELECT DISTINCT memberid AS userId FROM all_orders) LEFT JOIN new USING (userId)"""),
+    "tag_overlapping_ranges": _with(RULES, NUMBER_RANGES, """SELECT o_custkey AS userId,
+  coalesce(string_agg(DISTINCT CAST(id AS VARCHAR), ',' ORDER BY CAST(id AS VARCHAR)), '') AS tagsId,
+  count(DISTINCT o_orderkey) AS orders, count(id) AS matches
+  FROM orders LEFT JOIN (SELECT * FROM number_ranges WHERE pid IN (80, 90)) r ON floor(o_totalprice) BETWEEN r.lo AND r.hi
+  GROUP BY o_custkey"""),
 }
 # The same rows computed another way.
 for twin, original in {

@@ -11,10 +11,12 @@ from tagweave.operators import (clustering, enrichment, features, matching, merg
 from tagweave.operators.joins import NEVER_BROADCAST
 from tagweave.operators.upsert import upsert
 from tagweave.plans import tag_jobs
+from tagweave.plans.incremental import refresh_tags
 from tagweave.session import scratch_path
+from tagweave.sources.buckets import BucketTable
 from tagweave.sources.scans import scan
 from tagweave.sources.spec import SourceSpec, decode_columns
-from tagweave.sources.store import ChangeTable, VersionedTable
+from tagweave.sources.store import VersionedTable
 from tagweave.streaming import jobs as stream_jobs
 from tagweave.streaming.sinks import batch_sinks, keyed_sink, run_to_table, stream_sink, versioned_sink
 from tagweave.streaming.sources import stream_source, table_stream, values
@@ -49,11 +51,21 @@ def tag_store_write(spark, sf_dir):
     """The same upsert through the versioned store, applied twice."""
     store = VersionedTable(spark, scratch_path(spark, "tags"))
     store.write(tables.stored_tags(spark, sf_dir))
-    store.upsert(_gender_tags(spark, sf_dir), "userId")
-    store.upsert(_gender_tags(spark, sf_dir), "userId")
+    for _ in range(2):
+        store.write(upsert(store.read(), _gender_tags(spark, sf_dir), "userId"))
     return store.read()
 
 
+@query
+def tag_upsert_buckets(spark, sf_dir):
+    """The same upsert into a bucketed table, of which only the buckets of given keys are rewritten."""
+    table = BucketTable(spark, scratch_path(spark, "tag-buckets"), "userId", 16)
+    table.upsert(tables.stored_tags(spark, sf_dir))
+    table.upsert(_gender_tags(spark, sf_dir))
+    table.upsert(_gender_tags(spark, sf_dir).where("userId % 3 = 1"))
+    return table.read()
+
+
 @query
 def tag_store_full_run(spark, sf_dir):
     """All jobs through the store: run, commit, read back, run again."""
@@ -308,6 +320,13 @@ def ip_area_mixed_widths_shuffled(spark, sf_dir):
     return enrichment.add_area(parsed, tables.mixed_ranges(spark, sf_dir), bound=NEVER_BROADCAST)
 
 
+@query
+def ip_area_nested(spark, sf_dir):
+    """Areas from ranges inside each other: a /8, its /16, /24 and single addresses; the narrowest counts."""
+    parsed = access_log.parse_lines(_lines(spark, sf_dir)).select("ip", "sendbytes")
+    return enrichment.add_nested_area(parsed, tables.nested_ranges(spark, sf_dir))
+
+
 @query
 def user_agent_classify(spark, sf_dir):
     parsed = access_log.parse_lines(_lines(spark, sf_dir)).select("sendbytes", "useragent")
@@ -400,9 +419,9 @@ def _batched_events(spark, sf_dir):
 
 def _updated(spark, metrics, key, label):
     path = scratch_path(spark, label)
-    batch_sinks(metrics, [keyed_sink(f"{path}/table", key)], f"{path}/checkpoint", "update",
+    batch_sinks(metrics, [keyed_sink(f"{path}/table", key, 8)], f"{path}/checkpoint", "update",
                 {"availableNow": True}).awaitTermination()
-    return ChangeTable(spark, f"{path}/table", key).read()
+    return BucketTable(spark, f"{path}/table", key, 8).read()
 
 
 @query
@@ -586,6 +605,31 @@ def tag_spend_band(spark, sf_dir):
                             tables.stored_tags(spark, sf_dir), OPTIONS)
 
 
+@query
+def tag_incremental_run(spark, sf_dir):
+    """Recency and favourite tags after a first load and a batch of inserted, changed and deleted orders."""
+    jobs = [tag_jobs.JOBS[23], tag_jobs.JOBS[30]]
+    state = BucketTable(spark, scratch_path(spark, "order-counts"), "memberid", 16)
+    tags = BucketTable(spark, scratch_path(spark, "order-tags"), "userId", 16)
+    for changes in tables.order_changes(spark, sf_dir):
+        refresh_tags(jobs, tables.rule_tree(spark), state, tags, changes, OPTIONS)
+    return tags.read()
+
+
+def _overlapping(name: str, tag_id: int) -> tag_jobs.TagJob:
+    return tag_jobs.TagJob(tag_id, name, "memberid", "amount", match=tag_jobs.NUMBERS)
+
+
+@query
+def tag_overlapping_ranges(spark, sf_dir):
+    """Two jobs of overlapping ranges on one source: each order keeps one row with all tags of both."""
+    jobs = [_overlapping("spend band", 80), _overlapping("spend steps", 90)]
+    found = tag_jobs.tagged_rows(tables.order_amounts(spark, sf_dir), jobs, tables.rule_tree(spark), OPTIONS)
+    return found.groupBy("userId").agg(
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("found")))), ",").alias("tagsId"),
+        F.count("*").alias("orders"), F.sum(F.size("found")).alias("matches"))
+
+
 @query
 def tag_full_run(spark, sf_dir):
     """All seven jobs against the stored tags: the new content of the tag store."""

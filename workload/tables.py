@@ -31,6 +31,7 @@ CATEGORY_RULES = {
     62: [(63, "1"), (64, "2"), (65, "3")],
     66: [(67, "1"), (68, "2"), (69, "3")],
     80: [(81, "0-500000"), (82, "500001-2000000"), (83, "2000001-900000000")],
+    90: [(91, "0-50000"), (92, "20000-150000"), (93, "100000-400000"), (94, "0-900000000")],
 }
 CATEGORY_SOURCES = {
     4: ("users", "id,gender"),
@@ -41,6 +42,7 @@ CATEGORY_SOURCES = {
     62: ("users", "id,politicalface"),
     66: ("users", "id,marriage"),
     80: ("order_amounts", "memberid,amount"),
+    90: ("order_amounts", "memberid,amount"),
 }
 AREAS = [("10.0.0.0", "10.0.255.255", "north"), ("10.1.0.0", "10.1.255.255", "east"),
          ("10.2.0.0", "10.2.255.255", "south")]
@@ -156,6 +158,24 @@ def pay_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_changes(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """A change feed of the orders in two batches: those before SINCE, then what came, changed and went.
+
+    Of the first orders, one in seven is deleted and one in seven is paid another way 40 days later.
+    """
+    orders = pay_orders(spark, sf_dir)
+    known, fields = F.col("created_at") < F.lit(SINCE).cast("timestamp_ntz"), ["memberid", "finishtime", "paymentcode"]
+
+    def change(where, kind: str, rows=orders):
+        return rows.where(where).select(*fields, F.lit(kind).alias("change"))
+
+    gone, changed = F.col("ordersn") % 7 == 0, F.col("ordersn") % 7 == 1
+    later = orders.withColumn("finishtime", F.col("finishtime") + 40 * 86_400).withColumn("paymentcode", F.lit("other"))
+    second = [change(~known, "insert"), change(known & gone, "delete"), change(known & changed, "update_preimage"),
+              change(known & changed, "update_postimage", later)]
+    return [change(known, "insert"), second[0].unionByName(second[1]).unionByName(second[2]).unionByName(second[3])]
+
+
 def order_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each order came to, in whole units."""
     orders = load(spark, sf_dir, "orders")
@@ -294,3 +314,15 @@ def mixed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = customer.select((address - address % length).alias("lo"), length.alias("n")).distinct()
     name = F.concat(F.lit("area-"), F.col("lo").cast("string"))
     return starts.select("lo", (F.col("lo") + F.col("n") - 1).alias("hi"), name.alias("area"))
+
+
+def nested_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges inside each other from `customer`: all of 10/8, three of its /16, some /24 and some addresses."""
+    customer = load(spark, sf_dir, "customer")
+    address = F.expr("167772160L + c_custkey % 4 * 65536 + c_custkey div 256 % 256 * 256 + c_custkey % 256")
+    key = F.col("c_custkey")
+    width = (F.when(key % 5 == 0, 1).when(key % 5 == 1, 256).when((key % 5 == 2) & (key % 4 < 3), 65536)
+             .otherwise(16777216).cast("long"))
+    starts = customer.select((address - address % width).alias("lo"), width.alias("n")).distinct()
+    name = F.concat(F.lit("area-"), F.col("n").cast("string"), F.lit("-"), F.col("lo").cast("string"))
+    return starts.select("lo", (F.col("lo") + F.col("n") - 1).alias("hi"), name.alias("area"))
