@@ -1,7 +1,11 @@
 """Batch scans. Each returns a lazy frame of only the columns asked for."""
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date, datetime
+from decimal import Decimal
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tagweave.session import written
 from tagweave.sources.spec import SourceSpec
 
 
@@ -39,7 +43,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None
     """A database table; with a numeric `partition_column` it is read in parallel.
 
     The column's span is asked from the database first, so the split needs no
-    bounds from the caller. Filters and columns push down either way.
+    bounds from the caller. Filters and columns push down either way. For dates,
+    text and skewed numbers see `read_jdbc_by_points`.
     """
     properties = properties or {}
     if partition_column is None:
@@ -49,10 +54,85 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None
     lo, hi = row[0], row[1]
     if lo is None:
         return spark.read.jdbc(url, table, properties=properties)
+    if isinstance(lo, (str, bytes, date)):
+        raise ValueError(f"{partition_column} is no number: read the table by points")
     return spark.read.jdbc(url, table, column=partition_column, lowerBound=int(lo), upperBound=int(hi) + 1,
                            numPartitions=num_partitions, properties=properties)
 
 
+def split_points(sample: DataFrame, column: str, num_partitions: int) -> list:
+    """At most `num_partitions` - 1 values that cut a column of numbers, dates, times or text into parts of like size.
+
+    The quantiles of the sample's values, each value once: a value that many rows share never cuts twice. Only the
+    quantiles come to the driver. Nulls take no part.
+    """
+    name = F.col(column)
+    shares = [i / num_partitions for i in range(1, num_partitions)]
+    if not shares:
+        return []
+    known = sample.where(name.isNotNull()).select(name.alias("v"))
+    # Places in sorted order, by counts of distinct values: works for any type that sorts.
+    counts = known.groupBy("v").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0]
+    if not total:
+        return []
+    ranked = written(counts.repartitionByRange("v").sortWithinPartitions("v").withColumn("task", F.spark_partition_id()),
+                     "split-points")
+    sums = sorted((r["task"], r["n"]) for r in ranked.groupBy("task").agg(F.sum("n").alias("n")).collect())
+    points, before, wanted = [], 0, [s * total for s in shares]
+    starts = []
+    for task, n in sums:
+        starts.append((task, before))
+        before += n
+    offsets = F.create_map(*[F.lit(x) for pair in starts for x in pair])
+    upto = F.sum("n").over(_within_task()) + offsets[F.col("task")]
+    placed = ranked.withColumn("_end", upto).withColumn("_start", F.col("_end") - F.col("n"))
+    hit = F.lit(False)
+    for w in wanted:
+        hit = hit | ((F.col("_start") < w) & (F.col("_end") >= w))
+    points = sorted(r["v"] for r in placed.where(hit).select("v").collect())
+    return points
+
+
+def _within_task():
+    from pyspark.sql import Window
+
+    return Window.partitionBy("task").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+
+
+def _literal(value) -> str:
+    """A value as SQL text for the database."""
+    if isinstance(value, bool) or value is None:
+        raise ValueError(f"no point to split at: {value!r}")
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def split_predicates(column: str, points: list) -> list[str]:
+    """Conditions that put each row of a table into exactly one part; rows without a value go with the first."""
+    if not points:
+        return ["1 = 1"]
+    cuts = [_literal(p) for p in points]
+    out = [f"{column} < {cuts[0]} OR {column} IS NULL"]
+    out += [f"{column} >= {low} AND {column} < {high}" for low, high in zip(cuts, cuts[1:])]
+    return [*out, f"{column} >= {cuts[-1]}"]
+
+
+def read_jdbc_by_points(spark: SparkSession, url: str, table: str, partition_column: str, points: list,
+                        properties: dict | None = None) -> DataFrame:
+    """A database table read in parallel, one task for each part between the points (`split_points`).
+
+    Numbers, dates, times and text; the database compares text by its own collation, so points of text must have been
+    taken from values in that order.
+    """
+    return spark.read.jdbc(url, table, predicates=split_predicates(partition_column, points), properties=properties or {})
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                mode: str = "overwrite") -> None:
     """Write to a database table; overwrite empties the table and keeps its definition."""

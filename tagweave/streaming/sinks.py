@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tagweave.sources.scans import write_jdbc
@@ -83,6 +83,41 @@ def jdbc_sink(url: str, table: str, properties: dict | None = None) -> BatchSink
     return lambda batch, batch_id: write_jdbc(batch, url, table, properties)
 
 
+def appended_sink(path: str, run: str) -> BatchSink:
+    """Each batch's rows once, however often the batch is repeated: a folder of (run, batch number) of its own.
+
+    A repeated batch replaces its folder; one that died half-way has no success mark and is not read
+    (`read_appended`). `run` names the query: a new checkpoint counts its batches anew and takes another name.
+    """
+    return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}/batch={batch_id:012d}")
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all finished batches, with their run and batch."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    marks = fs.globStatus(hadoop(f"{path.rstrip('/')}/run=*/batch=*/_SUCCESS")) or []
+    done = [status.getPath().getParent().toString() for status in marks]
+    if not done:
+        raise LookupError(f"no finished batch in {path}")
+    return spark.read.option("basePath", path).parquet(*done)
+
+
+def jdbc_once_sink(url: str, table: str, run: str, properties: dict | None = None) -> BatchSink:
+    """Append each batch to a database table once, with its run and batch number as columns.
+
+    The rows go in one task, which the database commits as one transaction, so a batch is there whole or not at all;
+    a batch whose number is there already is left out. Meant for results, not for bulk loads.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        known = f"(select 1 as known from {table} where run = '{run}' and batch = {batch_id}) ledger"
+        if batch.sparkSession.read.jdbc(url, known, properties=properties or {}).isEmpty():
+            numbered = batch.withColumn("run", F.lit(run)).withColumn("batch", F.lit(batch_id).cast("long"))
+            write_jdbc(numbered.coalesce(1), url, table, properties, mode="append")
+
+    return write
+
+
 def console_sink(rows: int = 20) -> BatchSink:
     return lambda batch, batch_id: batch.show(rows, truncate=False)
 

@@ -353,6 +353,7 @@ ORACLE = {
     "event_json_paths": _with(RECORDS, FLAT, "SELECT user_id, province, is_buy, goods_name FROM flat"),
     "behaviour_counts": _with(RECORDS, FLAT, BEHAVIOUR),
     "stream_append_sink": _with(LINES, "SELECT value FROM lines"),
+    "stream_append_once": _with(LINES, "SELECT value FROM lines"),
     "stream_foreach_batch": _with(RECORDS, FLAT, f"counted AS ({BEHAVIOUR})",
                                   "SELECT *, 'a' AS sink FROM counted UNION ALL SELECT *, 'b' AS sink FROM counted"),
     "stream_watermark_counts": _with(RECORDS, FLAT, f"""timed AS (SELECT *,
@@ -365,6 +366,9 @@ ORACLE = {
     "string_index": """SELECT event_id, event_type, CAST(place AS DOUBLE) AS event_index FROM events JOIN (
   SELECT event_type, row_number() OVER (ORDER BY count(*) DESC, event_type) - 1 AS place
   FROM events GROUP BY event_type) USING (event_type)""",
+    "string_index_distributed": """SELECT l_orderkey, l_linenumber, CAST(place AS DOUBLE) AS order_index FROM lineitem JOIN (
+  SELECT l_orderkey, row_number() OVER (ORDER BY count(*) DESC, CAST(l_orderkey AS VARCHAR)) - 1 AS place
+  FROM lineitem GROUP BY l_orderkey) USING (l_orderkey)""",
     "index_to_string": "SELECT event_id, event_type AS restored FROM events",
     "model_score": """SELECT o_orderkey, CAST(CAST(o_totalprice * 0.5 + 3.25 AS FLOAT) AS DOUBLE) AS prediction
   FROM orders""",

@@ -18,7 +18,8 @@ from tagweave.sources.scans import scan
 from tagweave.sources.spec import SourceSpec, decode_columns
 from tagweave.sources.store import VersionedTable
 from tagweave.streaming import jobs as stream_jobs
-from tagweave.streaming.sinks import batch_sinks, keyed_sink, run_to_table, stream_sink, versioned_sink
+from tagweave.streaming.sinks import (appended_sink, batch_sinks, keyed_sink, read_appended, run_to_table, stream_sink,
+                                      versioned_sink)
 from tagweave.streaming.sources import stream_source, table_stream, values
 from workload import tables
 
@@ -474,6 +475,16 @@ def stream_foreach_batch(spark, sf_dir):
     return first.withColumn("sink", F.lit("a")).unionByName(second.withColumn("sink", F.lit("b")))
 
 
+@query
+def stream_append_once(spark, sf_dir):
+    """Every batch is written twice, as after a failure between write and commit; its rows count once."""
+    path = scratch_path(spark, "once")
+    sink = appended_sink(f"{path}/table", "first")
+    lines = values(tables.access_lines(_batched_events(spark, sf_dir)))
+    batch_sinks(lines, [sink, sink], f"{path}/checkpoint", "append", {"availableNow": True}).awaitTermination()
+    return read_appended(spark, f"{path}/table").select("value")
+
+
 @query
 def stream_watermark_counts(spark, sf_dir):
     """Closed windows only: append mode gives a window once the watermark passes it."""
@@ -504,6 +515,13 @@ def string_index(spark, sf_dir):
     return features.index_strings(events, "event_type", "event_index")
 
 
+@query
+def string_index_distributed(spark, sf_dir):
+    """The order keys of all lines as labels: as many as there are orders."""
+    lines = tables.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return features.index_strings_distributed(lines, "l_orderkey", "order_index")
+
+
 @query
 def index_to_string(spark, sf_dir):
     events = tables.load(spark, sf_dir, "events").select("event_id", "event_type")
