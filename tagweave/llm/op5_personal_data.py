@@ -16,7 +16,7 @@ the one before ended.
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagweave.llm.tables import written
@@ -56,6 +56,7 @@ COUNTER_CUES = r"version|isbn|order|invoice|ref|serial|page|section|figure"
 VOTERS = ("shape", "gazetteer", "context", "edges")
 FEATURES = {"kind": len(KINDS), "digits": 5, "marks": 4, "cue": 2, "edge": 2, "looks": 3}
 ABSTAIN = 2
+BLOCK = 128
 
 
 def literal(text: str) -> str:
@@ -71,20 +72,30 @@ def matches(text: str, pattern: str, need: str) -> Column:
 
 
 def located(found: str, gaps: str) -> Column:
+    """The spans of the matches, whose starts add up the gaps and matches before them.
+
+    Added up in blocks of BLOCK matches, each from the sum of the blocks before it: an array grows by copying, so one
+    that grew over all matches of a text would cost the square of their number.
+    """
+    kind = "array<struct<start: int, end: int, match: string, before: string, after: string>>"
+    total = (f"aggregate(slice({found}, b * {BLOCK} + 1, {BLOCK}), 0, (n, m) -> n + length(m))"
+             f" + aggregate(slice({gaps}, b * {BLOCK} + 1, least({BLOCK}, size({found}) - b * {BLOCK})), 0, (n, g) -> n + length(g))")
+    blocks = f"sequence(0, (size({found}) - 1) div {BLOCK})"
+    starts = f"""aggregate(transform({blocks}, b -> {total}), struct(0 AS at, cast(array() AS array<int>) AS starts),
+        (a, n) -> struct(a.at + n AS at, concat(a.starts, array(a.at)) AS starts), a -> a.starts)"""
+    block = f"""aggregate(
+        sequence(s.b * {BLOCK} + 1, least((s.b + 1) * {BLOCK}, size({found}))),
+        struct(s.at AS at, cast(array() AS {kind}) AS spans),
+        (a, i) -> struct(
+          a.at + length({gaps}[i - 1]) + length({found}[i - 1]) AS at,
+          concat(a.spans, array(named_struct(
+            'start', a.at + length({gaps}[i - 1]), 'end', a.at + length({gaps}[i - 1]) + length({found}[i - 1]),
+            'match', {found}[i - 1], 'before', lower(right({gaps}[i - 1], 40)), 'after', left({gaps}[i], 1)))) AS spans),
+        a -> a.spans)"""
     return F.expr(f"""
         CASE WHEN size({found}) > 0 THEN
-          aggregate(
-            zip_with(sequence(1, size({found})), {found}, (i, m) -> struct(
-              length({gaps}[i - 1]) AS gap, length(m) AS n, m AS match,
-              lower(right({gaps}[i - 1], 40)) AS before, left({gaps}[i], 1) AS after)),
-            struct(0 AS at, cast(array() AS array<struct<start: int, end: int, match: string, before: string,
-                                                         after: string>>) AS spans),
-            (a, x) -> struct(a.at + x.gap + x.n AS at, concat(a.spans, array(named_struct(
-              'start', a.at + x.gap, 'end', a.at + x.gap + x.n, 'match', x.match, 'before', x.before,
-              'after', x.after))) AS spans),
-            a -> a.spans)
-        ELSE cast(array() AS array<struct<start: int, end: int, match: string, before: string, after: string>>)
-        END""")
+          flatten(transform(zip_with({blocks}, {starts}, (b, at) -> struct(b, at)), s -> {block}))
+        ELSE cast(array() AS {kind}) END""")
 
 
 def valid(kind: str) -> str:
@@ -131,7 +142,8 @@ def candidates(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     names = [*BASE, *(f"loose_{k}" for k in LOOSE)]
     spans = digit.select("doc_id", *keep, *(located(f"{n}_found", f"{n}_gaps").alias(n) for n in names))
     arrays = [described(n, n.removeprefix("loose_"), n in BASE) for n in names]
-    return written(spans.select("doc_id", *keep, F.expr(f"concat({', '.join(arrays)})").alias("spans")), "pii-spans")
+    return written(spans.select("doc_id", *keep, F.expr(f"concat({', '.join(arrays)})").alias("spans"))
+                   .withColumn("_row", F.monotonically_increasing_id()), "pii-spans")
 
 
 def reliabilities(patterns: list[tuple[int, tuple[int, ...], float]], rounds: int = 50) -> dict:
@@ -212,13 +224,22 @@ def personal_data(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     weights = classifier(found)
     terms = " + ".join(f"element_at(array({', '.join(f'{w!r}D' for w in own)}), x.{name} + 1)"
                        for name, own in zip(FEATURES, weights, strict=True))
-    base = found.withColumn("base", F.expr("filter(spans, x -> x.base)"))
-    added = base.withColumn("added", F.expr(
-        f"filter(spans, x -> NOT x.base AND {terms} > 0 AND NOT exists(base, b -> b.start < x.end AND b.end > x.start))"))
-    counts = [F.expr(f"cast(size(filter(base, x -> x.kind = {i})) AS long)").alias(f"n_{k}")
-              for i, k in enumerate(BASE_KINDS)]
-    return added.select("doc_id", *counts, F.sha2(F.expr(joined("base")).cast("binary"), 256).alias("base_sha256"),
-                        F.expr(joined("concat(base, added)")).alias("spans"), *keep)
+    each = found.select("_row", F.explode("spans").alias("x")).where(f"x.base OR {terms} > 0").select("_row", "x.*")
+    # An added span must not overlap a base one: the furthest end among those that start before, the next start after.
+    # Both frames grow from the first row: Spark works out one that ends at the last row anew for each row.
+    own, earlier = Window.partitionBy("_row"), (Window.unboundedPreceding, -1)
+    before = F.max(F.expr("if(base, end, NULL)")).over(own.orderBy("start", F.desc("base")).rowsBetween(*earlier))
+    after = F.min(F.expr("if(base, start, NULL)")).over(own.orderBy(F.desc("start"), "base").rowsBetween(*earlier))
+    each = each.withColumn("_before", before).withColumn("_after", after)
+    kept = each.where("base OR (coalesce(_before <= start, true) AND coalesce(_after >= end, true))")
+    counts = [F.count_if(F.col("base") & (F.col("kind") == i)).alias(f"n_{k}") for i, k in enumerate(BASE_KINDS)]
+    span = F.struct("start", "kind", "end")
+    lists = kept.groupBy("_row").agg(*counts, F.collect_list(F.when(F.col("base"), span)).alias("base"),
+                                     F.collect_list(span).alias("spans"))
+    none = [F.coalesce(F.col(f"n_{k}"), F.lit(0)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    base, spans = (F.coalesce(F.expr(joined(n)), F.lit("")) for n in ("base", "spans"))
+    return found.select("_row", "doc_id", *keep).join(lists, "_row", "left").select(
+        "doc_id", *none, F.sha2(base.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"), *keep)
 
 
 query = personal_data
