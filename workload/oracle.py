@@ -157,6 +157,15 @@ AGENT_TEXTS = f"""agent_texts AS (SELECT event_id, 'Mozilla/5.0 (' || ({_list(ta
     len(tables.BROWSER_TOKENS)} + 1] AS useragent FROM events)"""
 
 
+MODEL_TEXTS = """model_texts AS (SELECT event_id, 'Mozilla/5.0 (Linux; Android 10; '
+  || CASE WHEN event_id % 2 = 0 THEN 'Model-' ELSE 'Type-' END || (event_id % 3001) || ') Mobile Safari/537.36' AS useragent
+  FROM events)"""
+PART_RULES = """part_rules AS (SELECT p_partkey * 7919 % 10007 * 1000000 + p_partkey AS rank,
+  p_brand || ' ' || p_partkey AS value, unnest(CASE WHEN p_partkey % 7 = 0 THEN ['Model-' || p_partkey || ')',
+    'Model-' || p_partkey || ';'] WHEN p_partkey % 11 = 0 THEN ['Model-' || p_partkey, 'Type-' || p_partkey]
+    ELSE ['Model-' || p_partkey] END) AS literal FROM part)"""
+
+
 def _silhouette(rows: str, name: str) -> str:
     """Members and silhouette (squared distances) of clusters `c` over rows (vec_id, c, v)."""
     return f"""WITH points AS ({rows}),
@@ -316,6 +325,10 @@ ORACLE = {
   SELECT userId, NULL, NULL FROM stored WHERE tagsId IS NULL"""),
     "user_agent_default_rules": _with(
         AGENT_TEXTS, f"SELECT *, {_agent_columns('useragent', DEFAULT_RULES)} FROM agent_texts"),
+    "user_agent_many_rules": _with(MODEL_TEXTS, PART_RULES, """spelled AS (SELECT DISTINCT useragent FROM model_texts),
+  found AS (SELECT useragent, arg_min(value, rank) AS device FROM spelled JOIN part_rules
+    ON contains(useragent, literal) GROUP BY useragent)""", """SELECT event_id, useragent, 'Android' AS os,
+  coalesce(device, 'Other') AS device, 'Android' AS browser FROM model_texts LEFT JOIN found USING (useragent)"""),
     "event_json_full": _with(FULL_RECORDS, FLAT.replace("FROM records", "FROM records WHERE json_valid(value)"),
                              "SELECT * FROM flat"),
     "event_json_rejects": _with(FULL_RECORDS, "SELECT value FROM records WHERE NOT json_valid(value)"),

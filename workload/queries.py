@@ -6,7 +6,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagweave.functions import access_log, behaviour, tag_sets, text
-from tagweave.operators import (clustering, enrichment, features, matching, merging, metrics,
+from tagweave.functions.user_agent import DEFAULT_RULES
+from tagweave.operators import (agents, clustering, enrichment, features, matching, merging, metrics,
                                 rules, scoring, statistics)
 from tagweave.operators.joins import NEVER_BROADCAST
 from tagweave.operators.upsert import upsert
@@ -346,6 +347,14 @@ def user_agent_default_rules(spark, sf_dir):
     return enrichment.add_agent(tables.agent_texts(_events(spark, sf_dir)))
 
 
+@query
+def user_agent_many_rules(spark, sf_dir):
+    """Devices by a dictionary with a rule for each part, and the shipped rules for systems and browsers."""
+    shipped = agents.rule_rows(spark, {"os": DEFAULT_RULES.os, "browser": DEFAULT_RULES.browser})
+    rules_ = tables.part_rules(tables.load(spark, sf_dir, "part")).unionByName(shipped)
+    return agents.add_agent_by_rules(tables.model_texts(_events(spark, sf_dir)), rules_)
+
+
 @query
 def access_metrics(spark, sf_dir):
     return stream_jobs.access_job(_lines(spark, sf_dir), tables.area_ranges(spark), tables.AGENT_RULES)

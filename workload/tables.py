@@ -278,6 +278,28 @@ def agent_texts(events: DataFrame) -> DataFrame:
     return events.select("event_id", agent.alias("useragent"))
 
 
+def part_rules(parts: DataFrame) -> DataFrame:
+    """One device rule for each part, in an order unlike that of the keys, so that `Model-12` may come before `Model-123`.
+
+    Every seventh asks for a bracket after the key, every eleventh has a second alternative.
+    """
+    key = F.col("p_partkey").cast("string")
+    pattern = (F.when(F.col("p_partkey") % 7 == 0, F.concat(F.lit("Model-"), key, F.lit("[;)]")))
+               .when(F.col("p_partkey") % 11 == 0, F.concat(F.lit("Model-"), key, F.lit("|Type-"), key))
+               .otherwise(F.concat(F.lit("Model-"), key)))
+    return parts.select(F.lit("device").alias("field"), (F.col("p_partkey") * 7919 % 10007 * 1000000
+                        + F.col("p_partkey")).alias("rank"), pattern.alias("pattern"),
+                        F.concat("p_brand", F.lit(" "), key).alias("value"))
+
+
+def model_texts(events: DataFrame) -> DataFrame:
+    """One user agent per event, naming a model by the event's number."""
+    number = (F.col("event_id") % 3001).cast("string")
+    name = F.when(F.col("event_id") % 2 == 0, F.lit("Model-")).otherwise(F.lit("Type-"))
+    return events.select("event_id", F.concat(F.lit("Mozilla/5.0 (Linux; Android 10; "), name, number,
+                                              F.lit(") Mobile Safari/537.36")).alias("useragent"))
+
+
 def event_files(spark: SparkSession, sf_dir: str, columns) -> str:
     """The events as a folder of several files, for streams of several batches."""
     path = scratch_path(spark, "events")
