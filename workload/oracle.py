@@ -178,10 +178,27 @@ means AS (SELECT d.vec_id, d.c AS other, p.c AS own, z.n, p.norm + z.norms / z.n
   FROM dots d JOIN norms p USING (vec_id) JOIN sizes z ON z.c = d.c),
 ab AS (SELECT vec_id, max(n) FILTER (other = own) AS n,
   max(m) FILTER (other = own) AS a, min(m) FILTER (other <> own) AS b FROM means GROUP BY vec_id),
-scores AS (SELECT CASE WHEN n = 1 THEN 0 ELSE (b - a * n / (n - 1)) / greatest(b, a * n / (n - 1)) END AS s FROM ab)
+scores AS (SELECT vec_id, CASE WHEN n = 1 THEN 0 ELSE (b - a * n / (n - 1)) / greatest(b, a * n / (n - 1)) END AS s FROM ab)
 SELECT {name}, count(*) AS members, (SELECT round(avg(s), 6) FROM scores) AS silhouette FROM points GROUP BY c"""
 
 
+def _lloyd(rounds: int) -> list[str]:
+    """Three centres from the first vectors, moved `rounds` times; then each vector's cluster."""
+    return ["""vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)""",
+            """start AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) AS INTEGER) - 1 AS c, v FROM vectors
+  ORDER BY vec_id LIMIT 3)""",
+            *(step for i in range(rounds) for step in (
+                f"""near{i} AS (SELECT vec_id, v, c FROM (SELECT p.vec_id, p.v, s.c, row_number() OVER (PARTITION BY p.vec_id
+  ORDER BY list_sum(list_transform(list_zip(p.v, s.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), s.c) AS rn
+  FROM vectors p CROSS JOIN {f'moved{i - 1}' if i else 'start'} s) WHERE rn = 1)""",
+                f"""moved{i} AS (SELECT c, list(x ORDER BY dim) AS v FROM (SELECT c, dim, avg(x) AS x FROM (
+  SELECT c, unnest(range(len(v))) AS dim, unnest(v) AS x FROM near{i}) GROUP BY c, dim) GROUP BY c
+  UNION ALL SELECT c, v FROM {f'moved{i - 1}' if i else 'start'} WHERE c NOT IN (SELECT c FROM near{i}))""")),
+            f"""near AS (SELECT vec_id, v, c FROM (SELECT p.vec_id, p.v, s.c, row_number() OVER (PARTITION BY p.vec_id
+  ORDER BY list_sum(list_transform(list_zip(p.v, s.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), s.c) AS rn
+  FROM vectors p CROSS JOIN moved{rounds - 1} s) WHERE rn = 1)"""]
+
+
 PARITY = """SELECT vec_id, label % 2 AS c, list_transform(embedding, lambda x: CAST(x AS DOUBLE) + label % 2 * 10) AS v
   FROM embeddings"""
 
@@ -334,6 +351,11 @@ ORACLE = {
     "event_json_rejects": _with(FULL_RECORDS, "SELECT value FROM records WHERE NOT json_valid(value)"),
     "kmeans_assign": "SELECT vec_id, min(vec_id) OVER (PARTITION BY label % 2) AS cluster FROM embeddings",
     "kmeans_quality": _silhouette(PARITY, "min(vec_id) AS cluster"),
+    "kmeans_rounds_assign": _with(*_lloyd(4), "SELECT vec_id, c AS cluster FROM near"),
+    "kmeans_rounds_quality": _with(*_lloyd(4), _silhouette("SELECT * FROM near", "c AS cluster")
+                                   .removeprefix("WITH ").split("\nSELECT ")[0],
+                                   """SELECT p.c AS cluster, count(*) AS members, round(avg(s), 6) AS silhouette,
+  (SELECT round(avg(s), 6) FROM scores) AS overall FROM points p JOIN scores USING (vec_id) GROUP BY p.c"""),
     "silhouette_given": _silhouette("SELECT vec_id, label AS c, CAST(embedding AS DOUBLE[]) AS v FROM embeddings",
                                     "any_value(c) AS label"),
     "tag_spend_band": _with(RULES, NUMBER_RANGES, STORED, """new AS (SELECT memberid AS userId,

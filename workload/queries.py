@@ -571,6 +571,26 @@ def kmeans_raw_quality(spark, sf_dir):
     return clustering.quality(_vectors(spark, sf_dir))
 
 
+def _rounds(spark, sf_dir):
+    """The raw vectors under three centres, after four steps from the vectors of the three smallest ids."""
+    vectors = tables.load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    first = [list(r["embedding"]) for r in vectors.orderBy("vec_id").limit(3).collect()]
+    return clustering.assign_nearest(vectors, clustering.lloyd(vectors, first, 4, "embedding"), "embedding")
+
+
+@query
+def kmeans_rounds_assign(spark, sf_dir):
+    return _rounds(spark, sf_dir).select("vec_id", F.col("prediction").alias("cluster"))
+
+
+@query
+def kmeans_rounds_quality(spark, sf_dir):
+    """Members and silhouette of each cluster, and that of all vectors."""
+    found = clustering.moment_quality(_rounds(spark, sf_dir), "embedding")
+    return found.select(F.col("prediction").alias("cluster"), "members", F.round("silhouette", 6).alias("silhouette"),
+                        F.round("overall", 6).alias("overall"))
+
+
 @query
 def silhouette_given(spark, sf_dir):
     """The given labels as clusters."""
