@@ -351,6 +351,8 @@ ORACLE = {
     "event_json_rejects": _with(FULL_RECORDS, "SELECT value FROM records WHERE NOT json_valid(value)"),
     "kmeans_assign": "SELECT vec_id, min(vec_id) OVER (PARTITION BY label % 2) AS cluster FROM embeddings",
     "kmeans_quality": _silhouette(PARITY, "min(vec_id) AS cluster"),
+    "stream_from_position": """SELECT event_id % 6 AS partition, event_id // 6 AS "offset", event_type FROM events
+  WHERE event_id // 6 >= CASE event_id % 6 WHEN 0 THEN 100 WHEN 1 THEN 0 WHEN 2 THEN 1000000000000 WHEN 3 THEN 7 ELSE 50 END""",
     "kmeans_rounds_assign": _with(*_lloyd(4), "SELECT vec_id, c AS cluster FROM near"),
     "kmeans_rounds_quality": _with(*_lloyd(4), _silhouette("SELECT * FROM near", "c AS cluster")
                                    .removeprefix("WITH ").split("\nSELECT ")[0],

@@ -21,7 +21,7 @@ from tagweave.sources.store import VersionedTable
 from tagweave.streaming import jobs as stream_jobs
 from tagweave.streaming.sinks import (appended_sink, batch_sinks, keyed_sink, read_appended, run_to_table, stream_sink,
                                       versioned_sink)
-from tagweave.streaming.sources import stream_source, table_stream, values
+from tagweave.streaming.sources import from_positions, stream_source, table_stream, values
 from workload import tables
 
 OPTIONS = tag_jobs.RunOptions(as_of=tables.AS_OF)
@@ -494,6 +494,23 @@ def stream_append_once(spark, sf_dir):
     return read_appended(spark, f"{path}/table").select("value")
 
 
+@query
+def stream_from_position(spark, sf_dir):
+    """Events as records of six partitions, read from a position in four of them, over two runs of one checkpoint."""
+    tables.configure(spark)
+    path = scratch_path(spark, "positions")
+    records = _event_records(_batched_events(spark, sf_dir))
+    wanted = from_positions(records, {0: 100, 1: -2, 2: 10**12, 3: 7}, others=50)
+    for _ in range(2):
+        batch_sinks(wanted, [appended_sink(f"{path}/table", "first")], f"{path}/checkpoint", "append",
+                    {"availableNow": True}).awaitTermination()
+    return read_appended(spark, f"{path}/table").select("partition", "offset", "event_type")
+
+
+def _event_records(events):
+    return events.select((F.col("event_id") % 6).alias("partition"), F.expr("event_id div 6").alias("offset"), "event_type")
+
+
 @query
 def stream_watermark_counts(spark, sf_dir):
     """Closed windows only: append mode gives a window once the watermark passes it."""
