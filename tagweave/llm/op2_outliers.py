@@ -34,6 +34,10 @@ SHARE = 0.75
 STEPS = 4
 BINS = 64
 MIN_ROWS = 60
+# The estimate over all rows, for languages with under MIN_ROWS sound rows. It takes only the statistics that no
+# language sets: length and spelling of words are not compared across languages.
+POOLED = "all"
+COMMON = [FEATURES.index(x) for x in ("symbols", "dup_lines", "repeats")]
 # Chance that a normal row of five statistics lies beyond the cutoff.
 TAIL = 1e-7
 
@@ -110,11 +114,17 @@ def chi2(p_tail: float, df: int) -> float:
     return df * (1 - 2 / (9 * df) + low * math.sqrt(2 / (9 * df))) ** 3
 
 
-def fitted(centre: np.ndarray, scatter: np.ndarray) -> tuple[list[float], list[float], float]:
-    """Centre, inverse scatter (flat) and log determinant, with the floors on the scatter's diagonal."""
+def fitted(group: str, centre: np.ndarray, scatter: np.ndarray) -> tuple[list[float], list[float], float]:
+    """Centre, inverse scatter (flat) and log determinant, with the floors on the scatter's diagonal.
+
+    Of the pooled group only the common statistics are inverted; the others count nothing in a distance.
+    """
     short = np.maximum(np.square(FLOORS) - np.diag(scatter), 0)
     scatter = scatter + np.diag(short)
-    return [*map(float, centre)], [*map(float, np.linalg.inv(scatter).ravel())], float(np.linalg.slogdet(scatter)[1])
+    taken = np.ix_(COMMON, COMMON) if group == POOLED else np.ix_(range(len(FEATURES)), range(len(FEATURES)))
+    inverse = np.zeros_like(scatter)
+    inverse[taken] = np.linalg.inv(scatter[taken])
+    return [*map(float, centre)], [*map(float, inverse.ravel())], float(np.linalg.slogdet(scatter[taken])[1])
 
 
 def moments() -> list:
@@ -162,15 +172,15 @@ def distance():
 
 
 def fit_groups(sound: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
-    """_group, _lang, fit_group: the group itself, or its whole language where it has under `min_rows` sound rows.
-
-    A language with under `min_rows` has no estimate: fit_group is null and its rows are kept.
+    """_group, fit_group: the group itself, its whole language where it has under `min_rows` sound rows, or POOLED
+    where the language has under `min_rows` too.
     """
     sizes = sound.groupBy("_group", "_lang").agg(F.count("*").alias("n"))
     languages = sizes.groupBy("_lang").agg(F.sum("n").alias("all"))
     return sizes.join(languages, "_lang").select(
         "_group", F.when(F.col("n") >= min_rows, F.concat(F.lit("g"), "_group"))
-        .when(F.col("all") >= min_rows, F.concat(F.lit("l"), "_lang")).alias("fit_group"))
+        .when(F.col("all") >= min_rows, F.concat(F.lit("l"), "_lang"))
+        .otherwise(POOLED).alias("fit_group"))
 
 
 def estimates(rows: DataFrame) -> DataFrame:
@@ -187,7 +197,7 @@ def estimates(rows: DataFrame) -> DataFrame:
                 # The second start takes no notice of statistics on which most rows agree.
                 spread = np.square((marks_[:, 2] - marks_[:, 0]) / 1.349)
                 for start, scale in enumerate((spread, np.maximum(spread, np.square(FLOORS) * 4))):
-                    centre, inverse, logdet = fitted(marks_[:, 1], np.diag(scale))
+                    centre, inverse, logdet = fitted(r.fit_group, marks_[:, 1], np.diag(scale))
                     out.append((r.fit_group, start, centre, inverse, logdet, r.n))
             yield pd.DataFrame(out, columns=["fit_group", "start", "centre", "inverse", "logdet", "n"])
 
@@ -196,8 +206,9 @@ def estimates(rows: DataFrame) -> DataFrame:
             group = group.sort_values("bin")
             inside = group["n"].cumsum().shift(fill_value=0) < share * group["n"].sum()
             centre, scatter, _ = centre_scatter(group[inside])
-            centre, inverse, logdet = fitted(centre, scatter * scale)
-            return pd.DataFrame([(group["fit_group"].iloc[0], group["start"].iloc[0], centre, inverse, logdet,
+            name = group["fit_group"].iloc[0]
+            centre, inverse, logdet = fitted(name, centre, scatter * scale)
+            return pd.DataFrame([(name, group["start"].iloc[0], centre, inverse, logdet,
                                   int(group["n"].sum()))],
                                 columns=["fit_group", "start", "centre", "inverse", "logdet", "n"])
         return concentrate
@@ -219,15 +230,20 @@ def estimates(rows: DataFrame) -> DataFrame:
 
 
 def judged(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The base statistics, distance2 (null without an estimate) and kept of each document.
+    """The base statistics, distance2 and kept of each document.
 
-    Null or empty text: no words, base_failed. Null language or source: a group of its own. Repeated documents count
+    distance2 is null for a document of a group without any sound row; such a document is base_failed.
+    Null or empty text: no words, base_failed. Null language or source: a group of its own. Languages of few rows are
+    judged by an estimate over all rows, in which their own rows are a small part. Repeated documents count
     as often as they occur. Empty table: no rows. Other columns are not read, but for those named in `keep`.
     """
     found = written(vectors(stats(docs)), "quality-stats")
     sound = found.where(~F.col("base_failed"))
     groups = written(fit_groups(sound), "quality-groups")
-    rows = sound.select("_group", *FEATURES).join(groups.where("fit_group IS NOT NULL"), "_group").drop("_group")
+    own = F.col("fit_group") != POOLED
+    rows = sound.select("_group", *FEATURES).join(groups.where(own), "_group").select("fit_group", *FEATURES)
+    if not groups.where(~own).isEmpty():
+        rows = rows.unionByName(sound.select(F.lit(POOLED).alias("fit_group"), *FEATURES))
     params = estimates(written(rows, "quality-sound"))
     # Columns to keep may hold whole texts: these are scanned once more rather than written once more.
     scored = ((vectors(stats(docs, keep)) if keep else found).join(groups, "_group", "left").join(params.drop("start", "n", "logdet"), "fit_group", "left")
