@@ -278,3 +278,20 @@ def cleaned(docs: DataFrame, benchmark: DataFrame, most_share: float = 0.5, n_ch
 
 
 query = contaminated
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+SQL = f"""WITH item_words AS (SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, {_WORDS} AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS run FROM (
+  SELECT item_id, w, least(len(w), {WINDOW}) AS k, unnest(range(1, len(w) - least(len(w), {WINDOW}) + 2)) AS i
+  FROM item_words WHERE len(w) > 0)),
+doc_words AS (SELECT row_number() OVER () AS place, doc_id, {_WORDS} AS w FROM documents),
+runs AS (SELECT place, k, i, array_to_string(w[i:i + k - 1], ' ') AS run FROM (
+  SELECT place, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM doc_words, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)),
+found AS (SELECT place, i, k, item_id FROM runs JOIN windows USING (k, run)),
+hits AS (SELECT place, count(DISTINCT p) AS n_hit FROM (SELECT place, unnest(range(i, i + k)) AS p FROM found) GROUP BY place),
+held AS (SELECT place, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS items
+  FROM found GROUP BY place)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc_words LEFT JOIN hits USING (place) LEFT JOIN held USING (place)"""

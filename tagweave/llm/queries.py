@@ -34,5 +34,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_prefix_trie": lambda spark, d: op13_prefix_trie.query(table(spark, d, "conversations")),
 }
 
-ORACLE: dict[str, str] = {"op4_water_filling": op4_mixing.SQL, "op11_repeats": op11_repeats.SQL,
-                          "op13_prefix_trie": op13_prefix_trie.SQL}
+ORACLE: dict[str, str] = {"op4_water_filling": op4_mixing.SQL, "op8_decontamination": op8_decontamination.SQL,
+                          "op11_repeats": op11_repeats.SQL, "op13_prefix_trie": op13_prefix_trie.SQL}
