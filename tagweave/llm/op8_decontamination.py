@@ -281,13 +281,18 @@ query = contaminated
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+# The run of k words from each word on; null where the text ends before.
+_RUNS = ", ".join(f"{'word' if k == 1 else f'r{k - 1} || chr(32) || lead(word, {k - 1}) OVER own'} AS r{k}"
+                  for k in range(1, WINDOW + 1))
 SQL = f"""WITH item_words AS (SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, {_WORDS} AS w FROM benchmark),
 windows AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS run FROM (
   SELECT item_id, w, least(len(w), {WINDOW}) AS k, unnest(range(1, len(w) - least(len(w), {WINDOW}) + 2)) AS i
   FROM item_words WHERE len(w) > 0)),
 doc_words AS (SELECT row_number() OVER () AS place, doc_id, {_WORDS} AS w FROM documents),
-runs AS (SELECT place, k, i, array_to_string(w[i:i + k - 1], ' ') AS run FROM (
-  SELECT place, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM doc_words, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)),
+said AS (SELECT place, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM doc_words),
+after AS (SELECT place, i, {_RUNS} FROM said WINDOW own AS (PARTITION BY place ORDER BY i)),
+runs AS (SELECT place, i, unnest(range(1, {WINDOW} + 1)) AS k, unnest([{", ".join(f"r{k}" for k in range(1, WINDOW + 1))}]) AS run
+  FROM after),
 found AS (SELECT place, i, k, item_id FROM runs JOIN windows USING (k, run)),
 hits AS (SELECT place, count(DISTINCT p) AS n_hit FROM (SELECT place, unnest(range(i, i + k)) AS p FROM found) GROUP BY place),
 held AS (SELECT place, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS items
