@@ -1,8 +1,5 @@
 """The registered queries in SQL, over the same whole tables."""
 
-from tagweave.functions.access_log import LINE_PATTERN
-from tagweave.functions.behaviour import FLAGS, NESTED_FIELDS, TOP_FIELDS
-from tagweave.functions.user_agent import DEFAULT_RULES
 from workload import tables
 from workload.tables import AREAS, AS_OF, CATEGORY_RULES, SINCE
 
@@ -59,8 +56,10 @@ LINES = f"""lines AS (SELECT CASE WHEN event_id % 97 = 0 THEN 'malformed ' || ev
   || ' /p/' || event_type || '/' || (event_id % 50) || ' HTTP/1.1" '
   || CASE WHEN event_type = 'error' THEN '500' ELSE '200' END || ' ' || event_id
   || ' "-" "' || ({_agents})[event_id % {len(tables.AGENTS)} + 1] || '" "-"' END AS value FROM events)"""
+# Written out here and not taken from the code under test, so that a wrong pattern there shows.
+_pattern = (r'([0-9]+\.[0-9]+\.[0-9]+\.[0-9]+) - - \[([^\]\x01]+)\] "([A-Z]+) ([^\s\x01]*) ([^\s"\x01]+)" '
+            r'([0-9]+) ([0-9]+) "([^"\x01]*)" "([^"\x01]+)" "([^"\x01]+)"')
 # At most nine groups can be named here, so the tenth field has a pattern of its own.
-_pattern = LINE_PATTERN.replace("\x01", r"\x01")
 _nine = _pattern[:_pattern.rindex("(")] + '[^"\\x01]+"'
 PARSED = f"""parsed AS (SELECT value, {", ".join(
     f"regexp_extract(value, {_text(_nine)}, {i + 1}) AS {name}" for i, name in enumerate(
@@ -103,9 +102,25 @@ def _case(column: str, rules) -> str:
     return f"CASE {branches} ELSE 'Other' END"
 
 
-def _agent_columns(column: str, rules=tables.AGENT_RULES) -> str:
-    return (f"{_case(column, rules.os)} AS os, {_case(column, rules.device)} AS device, "
-            f"{_case(column, rules.browser)} AS browser")
+def _agent_columns(column: str, rules=None) -> str:
+    rules = rules or {"os": tables.AGENT_RULES.os, "device": tables.AGENT_RULES.device, "browser": tables.AGENT_RULES.browser}
+    return ", ".join(f"{_case(column, own)} AS {name}" for name, own in rules.items())
+
+
+# Fixed values, written out here as well: the default rules by the plain product tokens they look for.
+SHIPPED_AGENTS = {
+    "os": [("Windows Phone", "Windows Phone"), ("Windows", "Windows"), ("iPhone|iPad|iPod", "iOS"), ("Android", "Android"),
+           ("CrOS", "Chrome OS"), ("Mac OS X|Macintosh", "Mac OS X"), ("Ubuntu", "Ubuntu"), ("NetBSD", "NetBSD"),
+           ("FreeBSD", "FreeBSD"), ("OpenBSD", "OpenBSD"), ("Linux", "Linux")],
+    "device": [("[Bb]ot[/; )]|[Ss]pider|[Cc]rawler", "Spider"), ("iPhone", "iPhone"), ("iPad", "iPad"), ("iPod", "iPod"),
+               ("Macintosh", "Mac"), ("HUAWEI|Huawei", "Huawei"), ("Xiaomi|Redmi", "Xiaomi"),
+               ("SAMSUNG|SM-[A-Z0-9]+", "Samsung"), ("Android", "Generic Android")],
+    "browser": [("MicroMessenger", "WeChat"), ("Edge/|Edg/|EdgA/|EdgiOS/", "Edge"), ("OPR/|Opera", "Opera"),
+                ("UCBrowser", "UC Browser"), ("FxiOS/|Firefox/", "Firefox"), ("CriOS/", "Chrome Mobile iOS"),
+                ("Chromium/", "Chromium"), ("Android.*Chrome/", "Chrome Mobile"), ("Chrome/", "Chrome"),
+                ("MSIE |Trident/", "IE"), ("(iPhone|iPad|iPod).*Safari/", "Mobile Safari"), ("Android.*Safari/", "Android"),
+                ("Safari/", "Safari"), ("curl/", "curl")],
+}
 
 
 ACCESS = f"""SELECT m.ip, pv, uv, coalesce(a.area, 'unknown') AS area, TRY_CAST(code AS INTEGER) AS code,
@@ -127,6 +142,14 @@ def _json(path: str, name: str) -> str:
     return f"json_extract_string(value, '$.{path}') AS {name}"
 
 
+# Fixed values, written out here as well: the fields of an event.
+TOP_FIELDS = ("phone_num", "system_id", "user_name", "user_id", "visit_time", "goods_type", "minimum_price")
+FLAGS = ("is_browse", "is_order", "is_buy", "is_back_order", "is_received")
+NESTED_FIELDS = {
+    "area": ("province", "city", "sp"),
+    "user_behavior": FLAGS,
+    "goods_detail": ("goods_name", "browse_page", "browse_time", "to_page", "to_time", "page_keywords"),
+}
 _leaves = [_json(name, name) for name in TOP_FIELDS]
 _leaves += [_json(f"{outer}.{inner}", inner) for outer, names in NESTED_FIELDS.items() for inner in names]
 FLAT = f"flat AS (SELECT {', '.join(_leaves)} FROM records)"
@@ -341,7 +364,7 @@ ORACLE = {
   FROM stored WHERE tagsId IS NOT NULL UNION ALL
   SELECT userId, NULL, NULL FROM stored WHERE tagsId IS NULL"""),
     "user_agent_default_rules": _with(
-        AGENT_TEXTS, f"SELECT *, {_agent_columns('useragent', DEFAULT_RULES)} FROM agent_texts"),
+        AGENT_TEXTS, f"SELECT *, {_agent_columns('useragent', SHIPPED_AGENTS)} FROM agent_texts"),
     "user_agent_many_rules": _with(MODEL_TEXTS, PART_RULES, """spelled AS (SELECT DISTINCT useragent FROM model_texts),
   found AS (SELECT useragent, arg_min(value, rank) AS device FROM spelled JOIN part_rules
     ON contains(useragent, literal) GROUP BY useragent)""", """SELECT event_id, useragent, 'Android' AS os,
