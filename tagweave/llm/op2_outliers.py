@@ -255,6 +255,9 @@ def judged(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents that aren't rejected, unchanged."""
+    """The documents that aren't rejected, unchanged, columns of any name included.
+
+    Null and empty texts have no words, so they go. Repeated rows are judged alike, each of its own. Empty table: no rows.
+    """
     rows, names = set_aside(docs, "doc_id", "text", "lang", "source")
     return put_back(judged(rows, names).where("kept"), docs)

@@ -85,7 +85,8 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """The documents, each as often as the mix takes it.
 
     What is taken once more is all of a source up to one document in seeded order, so the texts need no shuffle: they
-    meet a table with a row per source. Documents without words are taken in no mix.
+    meet a table with a row per source. Documents without words, null texts among them, are taken in no mix. Repeated rows
+    are documents of their own. Empty table: no rows. Columns of any name come back unchanged.
     """
     last = F.max(F.when(F.col("once_more"), F.struct("seeded", F.coalesce("doc_id", F.lit(-1 << 62)), "size")))
     bounds = written(mixed(docs, seed).groupBy("source").agg(F.first("whole").alias("whole"), last.alias("last"))

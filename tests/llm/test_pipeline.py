@@ -1,5 +1,6 @@
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from tests.llm import helpers as h
 
 from tagweave.llm import op3_packing
@@ -62,3 +63,27 @@ def test_no_window_is_left(spark, kept):
 def test_run_gives_all_rows_of_the_mix(spark, kept):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() == kept[3].count() and out.select("shard", "slot").distinct().count() == out.count()
+
+
+@pytest.mark.parametrize("filled", [True, False])
+def test_run_over_awkward_and_empty_tables(spark, tmp_path, filled):
+    """Nulls, empty and very long texts, repeated rows, null ids, languages and sources, clashing column names."""
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()]
+    sound = [t for t in texts if t and not h.stats(t)[5]][:60]
+    docs = h.empty(spark)
+    if filled:
+        kinds = [None if i % 9 == 0 else "en" for i in range(len(h.AWKWARD) + len(sound))]
+        docs = h.frame(spark, [*h.AWKWARD, *sound], kinds, kinds)
+        docs = docs.union(docs.where("doc_id > 20")).union(docs.where("doc_id = 30").withColumn("doc_id", F.lit(None).cast("long")))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    if not filled:
+        assert out == []
+        return
+    assert {r["doc_id"] for r in out} <= set(range(len(h.AWKWARD), len(h.AWKWARD) + len(sound)))
+    assert len({(r["shard"], r["slot"]) for r in out}) == len(out)
+    by_crc = {}
+    for r in out:
+        by_crc.setdefault(r["text_crc32"], set()).add(r["doc_id"])
+    assert len(by_crc) > 20 and all(len(ids) == 1 for ids in by_crc.values())
