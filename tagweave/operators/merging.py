@@ -3,7 +3,9 @@
 Rules: no new tag keeps the stored set; no stored set takes the new one; else the
 stored tags of the same category go out and the new ones come in. Sets are sorted
 comma text. Several rows of a user are one set before anything else, on either side
-and on every path; rows without a user are left out.
+and on every path; rows without a user are left out. `keyed` is the caller's word that
+the stored table has one row a user, as a keyed store has: it then meets the new tags
+without an aggregate of its own.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -41,8 +43,9 @@ def merged_column(new: Column, old: Column, category: Column | None, drop_stale:
     return F.when(new.isNull(), unmatched).when(old.isNull(), new).otherwise(tag_sets.replace(new, old, category))
 
 
-def _stored_pair(new: DataFrame, stored: DataFrame) -> DataFrame:
-    old = one_set(stored.where(F.col("userId").isNotNull())).select(F.col("userId").alias("_user"), F.col("tagsId").alias("_old"))
+def _stored_pair(new: DataFrame, stored: DataFrame, keyed: bool) -> DataFrame:
+    known = stored.where(F.col("userId").isNotNull())
+    old = (known if keyed else one_set(known)).select(F.col("userId").alias("_user"), F.col("tagsId").alias("_old"))
     return _of_users(new).join(old, F.col("userId") == F.col("_user"), "left").select("userId", "tagsId", "_old")
 
 
@@ -50,14 +53,14 @@ def _of_users(tags: DataFrame) -> DataFrame:
     return collapse(tags.where(F.col("userId").isNotNull()))
 
 
-def merge_union(new: DataFrame, stored: DataFrame) -> DataFrame:
+def merge_union(new: DataFrame, stored: DataFrame, keyed: bool = False) -> DataFrame:
     """Merge without removing the category."""
     merged = merged_column(F.col("tagsId"), F.col("_old"), None)
-    return _stored_pair(new, stored).select("userId", merged.alias("tagsId"))
+    return _stored_pair(new, stored, keyed).select("userId", merged.alias("tagsId"))
 
 
 def merge_tags(new: DataFrame, stored: DataFrame, category: DataFrame | list[str], drop_stale: bool = False,
-               bound: Bound = DEFAULT_BOUND) -> DataFrame:
+               bound: Bound = DEFAULT_BOUND, keyed: bool = False) -> DataFrame:
     """Merge one category's new tags.
 
     `category` holds its tag ids, as a list or as a frame with column `id`. A list,
@@ -71,10 +74,10 @@ def merge_tags(new: DataFrame, stored: DataFrame, category: DataFrame | list[str
         literal = category
     if literal is not None:
         merged = merged_column(F.col("tagsId"), F.col("_old"), F.lit(",".join(literal)), drop_stale)
-        return _stored_pair(new, stored).select("userId", merged.alias("tagsId"))
+        return _stored_pair(new, stored, keyed).select("userId", merged.alias("tagsId"))
 
     # One pass over the pairs: each old tag looks up whether the category holds it.
-    pairs = _stored_pair(new, stored)
+    pairs = _stored_pair(new, stored, keyed)
     single = pairs.select("*", F.explode_outer(tag_sets.to_set(F.col("_old"))).alias("tag"))
     members = ids.distinct().select(F.col("id").alias("tag"), F.lit(True).alias("_member"))
     checked = lookup_join(single, members, ["tag"], "left", small=False)

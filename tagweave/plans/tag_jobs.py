@@ -67,11 +67,15 @@ JOBS = {job.tag_id: job for job in (
 
 @dataclass(frozen=True)
 class RunOptions:
-    """`as_of` is the day recency counts to; `rank` the favourite's place, 1 the top."""
+    """`as_of` is the day recency counts to; `rank` the favourite's place, 1 the top.
+
+    `keyed_store`: the caller knows that the stored tags have one row a user (see `merging`); single jobs use it.
+    """
 
     as_of: str | None = None
     rank: int = 1
     drop_stale: bool = False
+    keyed_store: bool = False
 
     def __post_init__(self):
         if self.rank < 1:
@@ -134,7 +138,7 @@ def run_job(job: TagJob, tree: RuleTree, read: Reader, stored: DataFrame | None,
     if stored is None:
         return collapse(new)
     category = tree.tag_ids(job.tag_id) if tree.small else tree.children(job.tag_id)
-    return merge_tags(new, stored, category, options.drop_stale, tree.bound)
+    return merge_tags(new, stored, category, options.drop_stale, tree.bound, options.keyed_store)
 
 
 def run_jobs_in_turn(jobs: list[TagJob], tree: RuleTree, read: Reader, stored: DataFrame,

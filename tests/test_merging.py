@@ -14,12 +14,13 @@ def pairs(df):
     return {r["userId"]: r["tagsId"] for r in df.collect()}
 
 
+@pytest.mark.parametrize("keyed", [False, True])
 @pytest.mark.parametrize("bound", [DEFAULT_BOUND, NEVER_BROADCAST])
-def test_merge_truth_table(spark, bound):
+def test_merge_truth_table(spark, bound, keyed):
     new = spark.createDataFrame([(1, None), (2, "25"), (3, None), (4, "25"), (5, "25"), (6, "25"), (7, "25")], PAIR)
     old = spark.createDataFrame([(1, "8"), (3, None), (4, "24,8,67"), (5, "24,24"), (6, None), (7, "8,25,8"), (9, "1")], PAIR)
     category = spark.createDataFrame([(24,), (25,), (26,)], "id int")
-    got = pairs(merging.merge_tags(new, old, category, bound=bound))
+    got = pairs(merging.merge_tags(new, old, category, bound=bound, keyed=keyed))
     assert got == {1: "8", 2: "25", 3: None, 4: "25,67,8", 5: "25", 6: "25", 7: "25,8"}
 
 
@@ -35,6 +36,17 @@ def test_union_merge_keeps_the_category(spark):
     new = spark.createDataFrame([(1, "25"), (2, None)], PAIR)
     old = spark.createDataFrame([(1, "24,8"), (2, "8")], PAIR)
     assert pairs(merging.merge_union(new, old)) == {1: "24,25,8", 2: "8"}
+    assert pairs(merging.merge_union(new, old, keyed=True)) == {1: "24,25,8", 2: "8"}
+
+
+def test_a_keyed_store_needs_no_aggregate(spark):
+    new, old = (spark.createDataFrame([(1, "25"), (2, None), (None, "3")], PAIR) for _ in range(2))
+
+    def aggregates(keyed):
+        plan = merging.merge_tags(new, old, ["25"], keyed=keyed)._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("Aggregate [")
+
+    assert (aggregates(True), aggregates(False)) == (1, 2)
 
 
 def test_collapse_gathers_overlapping_tags(spark):

@@ -24,7 +24,8 @@ from tagweave.streaming.sinks import (appended_sink, batch_sinks, keyed_sink, re
 from tagweave.streaming.sources import from_positions, stream_source, table_stream, values
 from workload import tables
 
-OPTIONS = tag_jobs.RunOptions(as_of=tables.AS_OF)
+# The stored tags are derived from customers, one row each.
+OPTIONS = tag_jobs.RunOptions(as_of=tables.AS_OF, keyed_store=True)
 QUERIES = {}
 
 
