@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tagweave.functions.user_agent import DEFAULT_RULES, OS_RULES
 from tagweave.operators import agents, enrichment
-from tagweave.operators.joins import NEVER_BROADCAST
+from tagweave.operators.joins import NEVER_BROADCAST, Bound
 from workload import tables
 
 
@@ -15,6 +15,7 @@ from workload import tables
     ("abc{0,2}def", ["def"]), (r"a\.b\(c", ["a.b(c"]), (r"x\dlong", ["long"]), ("(?i)chrome", [""]), ("abc|", ["abc", ""]),
     ("[^]|]abc", ["abc"]), ("(a(b|c)d)?efg", ["efg"]), ("(abc)*", [""]), ("", [""]), ("abc+d", ["abc"]), (r"\Qa|b\E", [""]),
     (r"\x41bcd", [""]), ("[a[bc]]def", [""]), (r"(x)\12abc", ["abc"]), ("[a-z&&x]abc", [""]), (r"[\]x]abc", ["abc"]),
+    (r"\pLabc", [""]), (r"\p{L}abc", ["abc"]),
 ])
 def test_needed_literals(pattern, literals):
     assert agents.needed_literals(pattern) == literals
@@ -71,3 +72,44 @@ def test_plan_is_of_one_size_and_rules_are_spread(spark, sf_dir):
     assert len(sizes) == 1
     filed = agents.filed(parts)
     assert filed.groupBy("piece").count().agg(F.max("count")).first()[0] < parts.count() / 2
+
+
+def model_rules(spark, count):
+    return spark.range(count).selectExpr("'device' AS field", "id AS rank", "concat('Model-', id) AS pattern",
+                                         "concat('model ', id) AS value")
+
+
+def test_rules_a_piece_do_not_grow_with_the_table(spark):
+    for count in (500, 5000):
+        filed = agents.filed(model_rules(spark, count))
+        assert filed.count() == count
+        assert filed.groupBy("piece").count().agg(F.max("count")).first()[0] == 1
+
+
+def test_rules_beyond_the_bound_are_narrowed_to_those_in_texts(spark):
+    texts = spark.createDataFrame([(f"x Model-{n}; Android",) for n in (7, 42, 4999, 7000)], "useragent string")
+    rules = model_rules(spark, 5000).unionByName(agents.rule_rows(spark, {"os": OS_RULES + (("^x", "short"),)}))
+    bound = Bound(rows=100)
+    filed = agents.filed(rules)
+    known = texts.select(F.col("useragent").alias("_text"))
+    held = agents._held(filed, agents._cut(known, filed, bound), bound)
+    assert {r["pattern"] for r in held.collect()} == {"Model-7", "Model-4", "Model-42", "Model-49", "Model-499", "Model-4999",
+                                                      "Model-70", "Model-700", "Android", "^x"}
+    for given in (bound, NEVER_BROADCAST, Bound()):
+        got = {r["useragent"]: (r["os"], r["device"]) for r in
+               agents.add_agent_by_rules(texts, rules, fields=["os", "device"], bound=given).collect()}
+        assert got == {"x Model-7; Android": ("Android", "model 7"), "x Model-42; Android": ("Android", "model 4"),
+                       "x Model-4999; Android": ("Android", "model 4"), "x Model-7000; Android": ("Android", "model 7")}
+
+
+@pytest.mark.parametrize("bound", [Bound(), Bound(rows=2), NEVER_BROADCAST])
+def test_each_text_as_matched_with_every_rule(spark, bound):
+    patterns = ["aaa", "aab|baa", "a\\.b", "é☃.😀", "x{2}yz", "[ab]{3}$", "^$", "aaaa+", "(aab|b)aaa", "aba|a", "☃😀☃", "aaa",
+                "\\pLabc", None]
+    rules = spark.createDataFrame([("os", i // 2, p, f"v{i}") for i, p in enumerate(patterns)] * 2, agents.RULE_SCHEMA)
+    texts = ["", "a", "aa", "aaa", "aaaa", "baaab", "a.b", "é☃é😀", "é☃😀☃", "xxyz", "bbab", "abab", "zzz", "éabc", None, "aaa"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, useragent string")
+    every = df.join(F.broadcast(rules), F.expr("useragent RLIKE pattern"), "left").groupBy("id", "useragent").agg(
+        F.coalesce(F.min(F.when(F.col("pattern").isNotNull(), F.struct("rank", "value")))["value"], F.lit("Other")).alias("os"))
+    got = agents.add_agent_by_rules(df, rules, fields=["os"], bound=bound)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, every.collect()), key=str)
